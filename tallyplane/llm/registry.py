@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from .bpe import op2_bpe
+from .language import op7_language
+from .license_scan import op8_licenses
+from .ngram_join import op9_jaccard_join
 from .pii import op4_pii
+from .quality import op6_quality
 from .secret_scan import op3_secret_scans
+from .unigram import op10_token_counts
 
 
 def queries():
-    return {"op2_bpe": op2_bpe, "op3_secret_scans": op3_secret_scans, "op4_pii": op4_pii}
+    each = (op2_bpe, op3_secret_scans, op4_pii, op6_quality, op7_language, op8_licenses, op9_jaccard_join, op10_token_counts)
+    return {f.__name__: f for f in each}
 
 
 def oracle_sql() -> dict[str, str]:
