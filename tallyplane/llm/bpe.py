@@ -29,6 +29,7 @@ import heapq
 import itertools
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -69,7 +70,7 @@ LONG_WORD = 64
 #: Bytes merged at once in a long word, besides the lookahead.
 WINDOW = 4096
 #: Words kept; beyond, a task starts anew.
-CACHE = 400_000
+CACHE = 500_000
 _RANK = 1 << 20
 
 
@@ -195,10 +196,17 @@ class Encoder:
         self.m = merges
 
         class Words(dict):
-            def __missing__(self, word: str) -> list[int]:
-                out = outer.word(word)
+            """Ids of words as packed int32. When full, it becomes the old half, from which words in use come back."""
+
+            old: dict[str, bytes] = {}
+
+            def __missing__(self, word: str) -> bytes:
+                out = self.old.get(word)
+                if out is None:
+                    out = array("i", outer.word(word)).tobytes()
                 if len(word) <= LONG_WORD:
-                    if len(self) >= CACHE:
+                    if len(self) >= CACHE // 2:
+                        self.old = dict(self)
                         self.clear()
                     self[word] = out
                 return out
@@ -213,46 +221,33 @@ class Encoder:
         return [*s.feed(raw), *s.finish()]
 
     def split(self, text: str) -> list[str]:
-        if text.isascii() or not NEWER.search(text):
-            return WORDS.findall(text)
-        return [text[m.start() : m.end()] for m in WORDS.finditer(NEWER.sub("", text))]
+        seen = for_splitting(text)
+        return WORDS.findall(text) if seen is text else [text[m.start() : m.end()] for m in WORDS.finditer(seen)]
 
-    def segment(self, text: str) -> Iterable[int]:
+    def segment(self, parts: list[str]) -> np.ndarray:
         words = self.words
-        return itertools.chain.from_iterable([words[w] for w in self.split(text)])
+        return np.frombuffer(b"".join([words[w] for w in parts]), np.int32)
 
-    def encode(self, text: str | None) -> list[int]:
-        return list(self.stream([text])) if text else []
+    def encode(self, text: str | None) -> np.ndarray:
+        return np.concatenate(list(self.stream([text or ""])))
 
-    def stream(self, chunks: Iterable[str]) -> Iterator[int]:
-        """Tokens of the chunks' concatenation, emitted once stable; what is held back is bounded but for one unfinished word's window."""
-        hold = ""
-        longest = max((len(s) for s in self.m.specials), default=1)
+    def stream(self, chunks: Iterable[str]) -> Iterator[np.ndarray]:
+        """Ids of the chunks' concatenation, emitted once stable; what is held back between chunks is one unfinished word."""
+        hold, specials = "", self.m.special_split
+        ahead = max(WORD_LOOKAHEAD, *(len(s) for s in self.m.specials), 0)
         for chunk in chunks:
             hold += chunk
-            hold = yield from self._stable(hold, longest)
-        if hold:
-            for i, part in enumerate(self.m.special_split.split(hold) if self.m.special_split else [hold]):
-                yield from ([self.m.specials[part]] if i % 2 else self.segment(part))
-
-    def _stable(self, text: str, longest: int) -> Iterator[int]:
-        """Emits what more text cannot change; gives back the rest."""
-        if self.m.special_split:
-            *parts, text = self.m.special_split.split(text)
-            for i, part in enumerate(parts):
-                yield from ([self.m.specials[part]] if i % 2 else self.segment(part))
-        limit = len(text) - max(WORD_LOOKAHEAD, longest)
-        if limit <= 0:
-            return text
-        seen, words, done = for_splitting(text), self.words, 0
-        stable = []
-        for m in WORDS.finditer(seen):
-            if m.end() > limit:
-                break
-            stable.append(text[done : m.end()])
-            done = m.end()
-        yield from itertools.chain.from_iterable([words[w] for w in stable])
-        return text[done:]
+            if specials:
+                *parts, hold = specials.split(hold)
+                for i, part in enumerate(parts):
+                    yield np.array([self.m.specials[part]], np.int32) if i % 2 else self.segment(self.split(part))
+            parts, end, limit = self.split(hold) if len(hold) > ahead else [], len(hold), len(hold) - ahead
+            while parts and end > limit:  # more text may change these
+                end -= len(parts.pop())
+            if parts:
+                yield self.segment(parts)
+                hold = hold[end:]
+        yield self.segment(self.split(hold))
 
 
 class Decoder:
@@ -315,7 +310,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | No
 
     def each():
         encoder = Encoder(merges_of(path))
-        return lambda t: np.fromiter(encoder.stream([t.as_py() or ""]), dtype=np.int32)
+        return lambda t: encoder.encode(t.as_py())
 
     base = docs.drop(ids).withColumn(text, F.col(text).cast("string"))
     return _mapped(base, text, each, "array<int>").withColumnRenamed(f"_made_{text}", ids)
