@@ -81,12 +81,13 @@ class RuleEnsemble:
     def __init__(self, rules, weights, bias: float):
         self.rules, self.weights, self.bias = rules, weights, bias
 
-    def column(self) -> Column:
+    def column(self, names=STATS) -> Column:
+        """The score over columns that hold the statistics, in the order of STATS."""
         terms = [F.lit(float(self.bias))]
         for rule, w in zip(self.rules, self.weights, strict=True):
             cond = None
             for j, t, le in rule:
-                one = F.col(STATS[j]) <= F.lit(t) if le else F.col(STATS[j]) > F.lit(t)
+                one = F.col(names[j]) <= F.lit(t) if le else F.col(names[j]) > F.lit(t)
                 cond = one if cond is None else cond & one
             terms.append(F.when(cond, F.lit(float(w))).otherwise(F.lit(0.0)))
         z = terms[0]

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from .bpe import op2_bpe
+from .decontaminate import op5_decontamination
 from .language import op7_language
 from .license_scan import op8_licenses
 from .ngram_join import op9_jaccard_join
 from .pii import op4_pii
 from .quality import op6_quality
 from .secret_scan import op3_secret_scans
+from .topk import OP1_SQL, op1_topk_search
 from .unigram import op10_token_counts
 
 
 def queries():
-    each = (op2_bpe, op3_secret_scans, op4_pii, op6_quality, op7_language, op8_licenses, op9_jaccard_join, op10_token_counts)
+    each = (op1_topk_search, op2_bpe, op3_secret_scans, op4_pii, op5_decontamination, op6_quality, op7_language, op8_licenses, op9_jaccard_join, op10_token_counts)
     return {f.__name__: f for f in each}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_topk_search": OP1_SQL}
