@@ -18,7 +18,8 @@ number of these caps the partner's size.
 Links. In each bucket every member is first compared with one hub, the member with the smallest share of rare tokens
 (in a group of near copies, the one nearest to the original): as many comparisons as members. Components of these
 links leave, in each bucket, the pairs across components; those that the bounds do not exclude are compared, all of
-them. So no link between different components is lost, no pair within a component is compared twice, and no
+them. One of the bounds is a bitmap of the parities of the tokens by hash: two sets differ in at least as many tokens
+as their bitmaps in bits. So no link between different components is lost, no pair within a component is compared twice, and no
 list of all pairs of a group is made.
 
 Null and empty texts, or texts of separators alone, have no shingle and link with nothing. Repeated rows and repeated
@@ -46,6 +47,8 @@ from .components import components
 SKETCH_BITS, SKETCH_PARTS = 22, 64
 #: A token is frequent if its bucket counts so many more than the mean.
 FREQUENT = 64
+#: 64-bit words of a set's bitmap.
+BITMAP = 8
 #: Sets that a task remembers, to index copies once; forgetting only repeats work.
 REMEMBERED = 500_000
 #: Keys that may be broadcast (8 bytes each); beyond, the join shuffles.
@@ -107,6 +110,12 @@ def node_of(tokens: np.ndarray, salt: int) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """The parity of the number of tokens that fall to each bit."""
+    odd = np.bincount((tokens >> _U(17)).astype(np.int64) % (64 * BITMAP), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def missing_allowed(n: int, percent: int) -> int:
     return n - -(-n * percent // 100)
 
@@ -117,7 +126,7 @@ def level_of(n: int, percent: int) -> int:
 
 
 def classes_of(level: int, percent: int) -> int:
-    return max(1, int((100.0 / percent) ** (level - 1) / 10))
+    return max(1, int((100.0 / percent) ** (level - 1) / 5))
 
 
 def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, int, int, int]:
@@ -159,7 +168,7 @@ def _field(meta: str, name: str):
 def _scan_sets(docs: DataFrame, key: str, text: str, words: int, salt: int) -> DataFrame:
     """A row for each document with its node; each task adds its part of the sketch as further rows."""
     src = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("t"))
-    schema = docs.sparkSession.createDataFrame([], f"doc {src.schema[0].dataType.simpleString()}, n long, node long, more long, part int, counts binary").schema
+    schema = docs.sparkSession.createDataFrame([], f"doc {src.schema[0].dataType.simpleString()}, n long, node long, more long, {', '.join(f'b{i} long' for i in range(BITMAP))}, part int, counts binary").schema
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,10 +179,10 @@ def _scan_sets(docs: DataFrame, key: str, text: str, words: int, salt: int) -> D
             for t in b.column(1):
                 s = shingles(t.as_py(), words)
                 if not len(s):
-                    rows.append((0, None, None))
+                    rows.append((0, None, None, *[None] * BITMAP))
                     continue
                 node, more = node_of(s, salt)
-                rows.append((len(s), node, more))
+                rows.append((len(s), node, more, *bitmap(s).tolist()))
                 if node not in seen:
                     if len(seen) >= REMEMBERED:
                         seen.clear()
@@ -183,16 +192,16 @@ def _scan_sets(docs: DataFrame, key: str, text: str, words: int, salt: int) -> D
                     if size > 2_000_000:
                         counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts)).astype(np.uint32)
                         held, size = [], 0
-            n, node, more = zip(*rows, strict=True) if rows else ((), (), ())
             k = len(rows)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(arrow.field(0).type), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(more, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=arrow)
+            cols = [pa.array([r[c] for r in rows], pa.int64()) for c in range(3 + BITMAP)]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(arrow.field(0).type), *cols, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=arrow)
         if held:
             counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts)).astype(np.uint32)
         parts = [(i, zlib.compress(p.tobytes(), 1)) for i, p in enumerate(np.split(counts, SKETCH_PARTS)) if p.any()]
         if parts:
             k = len(parts)
             i, c = zip(*parts, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, arrow.field(0).type), *[pa.nulls(k, pa.int64())] * 3, pa.array(i, pa.int32()), pa.array(c, pa.binary())], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, arrow.field(0).type), *[pa.nulls(k, pa.int64())] * (3 + BITMAP), pa.array(i, pa.int32()), pa.array(c, pa.binary())], schema=arrow)
 
     return src.mapInArrow(run, schema)
 
@@ -300,21 +309,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, key: str, tex
 
 
 def _fits(x: str, y: str, percent: int):
-    """Whether two members of a bucket can link by their sizes and caps; columns n, last and cap with the prefixes x and y."""
+    """Whether two members of a bucket can link by sizes, caps and bitmaps; columns n, last, cap and b0.. with the prefixes x and y."""
     nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
     by_x, by_y = ny <= F.col(f"{x}cap"), nx <= F.col(f"{y}cap")
     lx, ly = F.col(f"{x}last"), F.col(f"{y}last")
     top = F.lit(0xFFFF)
     caps = F.when((lx == ly) & (lx == top), by_x & by_y).when(lx < ly, by_x).when(lx > ly, by_y).otherwise(by_x | by_y)
-    return (100 * nx >= percent * ny) & (100 * ny >= percent * nx) & caps
+    # sets that link differ in at most so many tokens: both sizes less twice the least intersection
+    least = F.ceil(percent * (nx + ny) / (100 + percent))
+    differ = sum((F.bit_count(F.col(f"{x}b{i}").bitwiseXOR(F.col(f"{y}b{i}"))) for i in range(BITMAP)), F.lit(0))
+    return (100 * nx >= percent * ny) & (100 * ny >= percent * nx) & caps & (differ <= nx + ny - 2 * least)
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """key, n_shingles and component_id (smallest key of the component) of every row of docs."""
+    bits_of = [f"b{i}" for i in range(BITMAP)]
     for salt in range(8):
         scanned = staged(_scan_sets(docs, key, text, words, salt), "scan")
-        rows = scanned.where(F.col("part").isNull()).select("doc", "n", "node", "more")
-        nodes = staged(rows.where("n > 0").groupBy("node", "more").agg(F.min("doc").alias("doc"), F.first("n").alias("n")), "nodes")
+        rows = scanned.where(F.col("part").isNull())
+        nodes = staged(rows.where("n > 0").groupBy("node", "more").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), *[F.first(b).alias(b) for b in bits_of]), "nodes")
         sums = nodes.agg(F.sum("n"), F.count("*"), F.countDistinct("node")).first()
         if sums[1] == sums[2]:
             break
@@ -338,10 +351,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # intersection >= percent / (100 + percent) * (both sizes), and intersection <= n - alone
     cap = F.floor((n - alone) * (100 + percent) / percent) - n
     info = info.select("node", n.alias("n"), _field("meta", "last").alias("last"), cap.alias("cap")).where(F.col("cap") * 100 >= F.col("n") * percent)
-    info = staged(info, "info")
+    info = staged(info.join(nodes.select("node", *bits_of), "node"), "info")
+    facts = ["n", "last", "cap", *bits_of]
 
     def described(df: DataFrame, on: str, prefix: str) -> DataFrame:
-        return df.join(info.select(F.col("node").alias(on), *[F.col(c).alias(prefix + c) for c in ("n", "last", "cap")]), on)
+        return df.join(info.select(F.col("node").alias(on), *[F.col(c).alias(prefix + c) for c in facts]), on)
 
     stars = members.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
     stars = staged(described(described(stars, "u", "a_"), "v", "b_").where(_fits("a_", "b_", percent)).select("u", "v"), "stars")
@@ -352,9 +366,14 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # pairs across components: members outside their hub's component against all members of the bucket
     placed = members.select("sig", "node", "hub").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = described(placed, "node", "").join(roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root")), "hub", "left")
-    placed = staged(placed.withColumn("stray", F.col("root") != F.coalesce("hub_root", "hub")).select("sig", "node", "root", "stray", "n", "last", "cap"), "placed")
-    left = placed.where("stray").select("sig", *[F.col(c).alias("a_" + c) for c in ("node", "root", "n", "last", "cap")])
-    right = placed.select("sig", *[F.col(c).alias("b_" + c) for c in ("node", "root", "stray", "n", "last", "cap")])
+    placed = staged(placed.withColumn("stray", F.col("root") != F.coalesce("hub_root", "hub")).select("sig", "node", "root", "stray", *facts), "placed")
+    # buckets with the same members offer the same pairs: one of them is enough; those without strays offer none
+    mark = F.xxhash64("node", F.lit(1)).cast("decimal(20,0)")
+    same = placed.groupBy("sig").agg(F.count("*").alias("c"), F.sum(mark).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y"), F.max("stray").alias("any"))
+    kept = same.where("any").groupBy("c", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
+    placed = staged(placed.join(kept, "sig", "left_semi"), "across")
+    left = placed.where("stray").select("sig", *[F.col(c).alias("a_" + c) for c in ("node", "root", *facts)])
+    right = placed.select("sig", *[F.col(c).alias("b_" + c) for c in ("node", "root", "stray", *facts)])
     across = left.join(right, (left["sig"] == right["sig"]) & (F.col("a_root") != F.col("b_root")) & (~F.col("b_stray") | (F.col("a_node") < F.col("b_node"))) & _fits("a_", "b_", percent))
     across = across.select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")).distinct()
     done = stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
