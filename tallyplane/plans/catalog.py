@@ -47,10 +47,10 @@ def _cells(spark, d):
     """Observed cells of each nation's customers: one unit a nation."""
     o = t(spark, d, "orders").join(t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
     key = F.concat(F.lit("PRIORITY="), F.col("o_orderpriority"), F.lit(";STATUS="), F.col("o_orderstatus"))
-    return o.groupBy(F.col("c_nationkey").alias("unit"), key.alias("cell")).agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean"))
+    return o.groupBy(F.col("c_nationkey").alias("unit"), key.alias("cell")).agg(F.count("*").alias("n"), F.expr("sum(cast(round(o_totalprice * 100) as bigint)) div count(*)").alias("mean_cents"))
 
 
-CELLS_SQL = """cells AS (SELECT c_nationkey AS unit, 'PRIORITY=' || o_orderpriority || ';STATUS=' || o_orderstatus AS cell, count(*) AS n, round(avg(o_totalprice), 2) AS mean
+CELLS_SQL = """cells AS (SELECT c_nationkey AS unit, 'PRIORITY=' || o_orderpriority || ';STATUS=' || o_orderstatus AS cell, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) // count(*) AS BIGINT) AS mean_cents
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
 
 
@@ -90,9 +90,9 @@ def grid_level_order(spark, d):
 
 
 FLAG_SQL = f"""WITH {LEVELS_SQL}, {CELLS_SQL}, u AS (SELECT DISTINCT unit FROM cells), m AS (
-SELECT u.unit, d.cell, coalesce(c.n, 0) AS n, c.mean, CASE WHEN c.n IS NULL THEN 'MISSING_CELL' WHEN c.n < 3 THEN 'TOO_FEW' END AS code
+SELECT u.unit, d.cell, coalesce(c.n, 0) AS n, c.mean_cents, CASE WHEN c.n IS NULL THEN 'MISSING_CELL' WHEN c.n < 3 THEN 'TOO_FEW' END AS code
 FROM u CROSS JOIN declared d LEFT JOIN cells c ON c.unit = u.unit AND c.cell = d.cell WHERE d.cell NOT LIKE '%STATUS=X'), b AS (SELECT unit, bool_or(code IS NOT NULL) AS failed FROM m GROUP BY 1)
-SELECT m.unit, m.cell, m.n, m.mean, m.code, CASE WHEN code IS NOT NULL THEN 'QC_FAILED' WHEN failed THEN 'PANEL_NOT_PASSED' ELSE 'MACHINE_QC_PASSED' END AS value_status FROM m JOIN b USING (unit)"""
+SELECT m.unit, m.cell, m.n, m.mean_cents, m.code, CASE WHEN code IS NOT NULL THEN 'QC_FAILED' WHEN failed THEN 'PANEL_NOT_PASSED' ELSE 'MACHINE_QC_PASSED' END AS value_status FROM m JOIN b USING (unit)"""
 
 
 @query(FLAG_SQL)
@@ -101,10 +101,10 @@ def grid_status(spark, d):
     cells = _cells(spark, d)
     declared = G.expected_cells(_levels(spark).where("level <> 'X'"), "grid", "factor", "level")
     expected = cells.select("unit").distinct().withColumn("grid", F.lit("G1")).join(declared, "grid").select("unit", "cell")
-    code = F.when(F.col("mean").isNull(), "MISSING_CELL").when(F.col("n") < 3, "TOO_FEW")
+    code = F.when(F.col("mean_cents").isNull(), "MISSING_CELL").when(F.col("n") < 3, "TOO_FEW")
     m = expected.join(cells, ["unit", "cell"], "left").withColumn("code", code).withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
     state = m.groupBy("unit").agg(F.when(F.bool_or(F.col("code").isNotNull()), "PROBLEMS").otherwise("AUTO_PASS").alias("state"))
-    return m.join(state, "unit").select("unit", "cell", "n", "mean", "code", Q.value_status(F.col("code").isNotNull(), F.col("state")).alias("value_status"))
+    return m.join(state, "unit").select("unit", "cell", "n", "mean_cents", "code", Q.value_status(F.col("code").isNotNull(), F.col("state")).alias("value_status"))
 
 
 flagship = grid_status
