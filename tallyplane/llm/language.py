@@ -52,11 +52,13 @@ class WordModel:
         """counts: by language, by word."""
         self.langs = sorted(counts)
         k = len(self.langs)
+        self.words, self.grams, self.floor = {}, {}, np.zeros(k)
+        if not k:
+            return
         total = np.array([sum(counts[x].values()) for x in self.langs], float)
         vocab = sorted({w for x in self.langs for w in counts[x]})
         table = np.array([[counts[x].get(w, 0) for x in self.langs] for w in vocab], float).reshape(-1, k)
-        self.words = dict(zip(vocab, np.log((table + 0.1) / (total + 0.1 * max(len(vocab), 1))), strict=True)) if k else {}
-        self.grams: dict[str, np.ndarray] = {}
+        self.words = dict(zip(vocab, np.log((table + 0.1) / (total + 0.1 * max(len(vocab), 1))), strict=True))
         for n in range(1, LONGEST + 1):
             seen: list[Counter] = [Counter() for _ in self.langs]
             for j, x in enumerate(self.langs):
@@ -66,7 +68,6 @@ class WordModel:
             size = np.array([sum(s.values()) for s in seen], float)
             for g in set(itertools.chain(*seen)):
                 self.grams[g] = np.log((np.array([s[g] for s in seen], float) + 0.1) / (size + 0.1 * 1000))
-        self.floor = np.zeros(k)
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean over the characters, so that a long unseen word weighs no more than a known one."""
