@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 from ..functions import captions as C
 from ..functions import scalars as S
 from ..operators import association as A
+from ..operators import bundle as B
 from ..operators import grid as G
+from ..operators import intake as I
 from ..operators import matching as M
+from ..operators import measure as E
 from ..operators import relate as R
+from ..operators import review as V
 from ..operators import rules as Q
+from ..operators import tiers as T
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -382,6 +387,136 @@ def greedy_assignment(spark, d):
     return M.assign_greedily(s, "page", "l_suppkey", "l_partkey", "score", 0.5)
 
 
+_EVENT_METHODS = "CASE event_id % 4 WHEN 0 THEN 'MEASURED_COLOUR' WHEN 1 THEN 'HUMAN_RESOLUTION' WHEN 2 THEN 'DECLARED_SINGLE_SERIES' ELSE 'AI_ASSIGNED_SERIES' END AS identity_method, CASE event_id % 3 WHEN 0 THEN 'MARKER_CENTER' WHEN 1 THEN 'AI_PLACED_POINT' ELSE 'MANUAL_DIGITIZED' END AS value_method"
+
+
+def _methods(spark, d):
+    e = t(spark, d, "events")
+    return e.select("event_id", F.when(F.col("event_id") % 2 == 0, "LINE_COLOR").otherwise("SUPPLIED").alias("route"), F.expr(_EVENT_METHODS.split(" AS identity_method, ")[0]).alias("identity_method"), F.expr(_EVENT_METHODS.split(" AS identity_method, ")[1].removesuffix(" AS value_method")).alias("value_method"))
+
+
+@query(f"""WITH e AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'LINE_COLOR' ELSE 'SUPPLIED' END AS route, {_EVENT_METHODS} FROM events)
+SELECT event_id, route, identity_method, value_method FROM e WHERE NOT ((route = 'LINE_COLOR' AND identity_method = 'MEASURED_COLOUR' AND value_method = 'MARKER_CENTER') OR (route = 'SUPPLIED' AND ((identity_method IN ('AI_ASSIGNED_SERIES', 'DECLARED_SINGLE_SERIES') AND value_method = 'AI_PLACED_POINT') OR (identity_method = 'DECLARED_SINGLE_SERIES' AND value_method = 'MANUAL_DIGITIZED'))))""")
+def method_contract(spark, d):
+    return T.outside_contract(_methods(spark, d))
+
+
+@query(f"""WITH e AS (SELECT event_id, {_EVENT_METHODS} FROM events) SELECT event_id, greatest(CASE identity_method WHEN 'MEASURED_COLOUR' THEN 'R0' WHEN 'HUMAN_RESOLUTION' THEN 'R0' WHEN 'DECLARED_SINGLE_SERIES' THEN 'R1' ELSE 'R2' END, CASE value_method WHEN 'AI_PLACED_POINT' THEN 'R2' ELSE 'R0' END, CASE WHEN event_id % 7 = 0 THEN 'R3' ELSE 'R0' END) AS tier FROM e""")
+def row_tiers(spark, d):
+    m = _methods(spark, d)
+    return m.select("event_id", T.row_tier(F.col("identity_method"), F.col("value_method"), F.when(F.col("event_id") % 7 == 0, "UNSTEMMED_CAP").otherwise("NO_DISPERSION"), F.col("event_id") % 7 == 0).alias("tier"))
+
+
+@query("SELECT event_id, CASE WHEN value > greatest(event_id % 50, event_id % 30) THEN 'NONLOCAL_INTERPOLATION' WHEN event_type = 'click' THEN 'RESTORED_LINE_PATTERN_GAP' WHEN event_type = 'view' THEN 'LOCAL_BRACKETED_INTERPOLATION' ELSE 'RESTORED_MASKED_FURNITURE' END AS method FROM events")
+def interpolation_methods(spark, d):
+    e = t(spark, d, "events")
+    cause = F.when(F.col("event_type") == "click", "NONE").when(F.col("event_type") == "view", "MIXED").otherwise("STEM")
+    return e.select("event_id", T.interpolation_method(F.col("value"), (F.col("event_id") % 50).cast("double"), (F.col("event_id") % 30).cast("double"), cause).alias("method"))
+
+
+@query("SELECT l_orderkey, l_linenumber, round(100 - l_quantity, 6) AS mean, round(CASE WHEN l_linenumber % 3 = 0 THEN abs(l_tax * 100 + l_discount * 100) / 2 WHEN l_linenumber % 3 = 1 THEN l_tax * 100 END, 6) AS dispersion FROM lineitem")
+def supplied_values(spark, d):
+    """Quantities stand for pixels on an axis that falls from 100 at 0 to 0 at 100; tax and discount for the ends of whiskers."""
+    li = t(spark, d, "lineitem")
+    k = F.col("l_linenumber") % 3
+    r = li.select(F.lit("P").alias("panel"), F.col("l_orderkey").cast("string").alias("series"), F.col("l_linenumber").cast("string").alias("position"), F.col("l_quantity").alias("y_px"), F.when(k <= 1, F.col("l_quantity") - F.col("l_tax") * 100).alias("upper_px"), F.when(k == 0, F.col("l_quantity") + F.col("l_discount") * 100).alias("lower_px"))
+    panels = spark.createDataFrame([("P", "100:0;50:50;0:100", "LINEAR")], "panel string, y_ticks string, y_scale string")
+    v = E.supplied_values(r, panels)
+    return v.select(F.col("series").cast("long").alias("l_orderkey"), F.col("position").cast("int").alias("l_linenumber"), F.round("mean", 6).alias("mean"), F.round("dispersion", 6).alias("dispersion"))
+
+
+@query("SELECT p.b AS panel, s.t AS series, z.z AS position FROM (SELECT DISTINCT p_brand AS b FROM part) p LEFT JOIN (SELECT DISTINCT p_brand AS b, p_type AS t FROM part WHERE p_size > 20) s USING (b) LEFT JOIN (SELECT DISTINCT p_brand AS b, p_size AS z FROM part WHERE p_size <= 10) z USING (b) WHERE s.t IS NOT NULL OR z.z IS NOT NULL")
+def declared_cells(spark, d):
+    p = t(spark, d, "part").withColumnRenamed("p_brand", "panel")
+    return E.declared_cells(p.where("p_size > 20").select("panel", F.col("p_type").alias("series")), p.where("p_size <= 10").select("panel", F.col("p_size").alias("position")))
+
+
+@query("""WITH v AS (SELECT l_suppkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2) SELECT l_suppkey, l_linenumber, CASE WHEN l_linenumber = 1 AND l_suppkey % 2 = 0 THEN 7 WHEN l_suppkey % 3 = 0 THEN 5 ELSE n END AS n FROM v""")
+def own_sample_sizes(spark, d):
+    v = t(spark, d, "lineitem").groupBy(F.lit("P").alias("panel"), F.col("l_suppkey").alias("series"), F.col("l_linenumber").alias("position")).agg(F.count("*").alias("n"))
+    s = t(spark, d, "supplier").select(F.lit("P").alias("panel"), F.col("s_suppkey").alias("series"))
+    own = s.where("series % 2 = 0").select("panel", "series", F.lit(1).alias("position"), F.lit(7).cast("long").alias("n")).union(s.where("series % 3 = 0").select("panel", "series", F.lit(None).cast("int"), F.lit(5).cast("long")))
+    return E.own_n(v, own).select(F.col("series").alias("l_suppkey"), F.col("position").alias("l_linenumber"), "n")
+
+
+@query("""WITH p AS (SELECT o_custkey AS unit, count(*) AS c FROM orders WHERE o_orderkey % 9 = 0 GROUP BY 1), u AS (SELECT c_custkey AS unit FROM customer WHERE c_custkey % 2 = 0)
+SELECT coalesce(p.unit, u.unit) AS unit, CASE WHEN c IS NULL THEN 'UNIT_WITHOUT_PANEL' WHEN u.unit IS NULL THEN 'PANEL_NAMES_UNKNOWN_UNIT' ELSE 'UNIT_SHARED_BY_PANELS' END AS code FROM p FULL JOIN u ON p.unit = u.unit WHERE c IS NULL OR u.unit IS NULL OR c > 1""")
+def panel_unit_bijection(spark, d):
+    panels = t(spark, d, "orders").where("o_orderkey % 9 = 0").select(F.col("o_orderkey").alias("panel"), F.col("o_custkey").alias("unit"))
+    return E.bijection_problems(panels, t(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("unit")))
+
+
+@query("""SELECT o_orderkey AS unit, CASE WHEN o_custkey % 11 = 0 THEN 'QC_FAILED' WHEN o_custkey % 2 = 1 OR c_custkey IS NULL THEN 'NOT_APPROVED' WHEN o_custkey % 14 = 0 THEN 'INFERENCE_SET_INCOMPLETE' WHEN o_orderpriority = '5-LOW' THEN 'MODEL_ESTIMATE_ONLY' WHEN o_orderpriority = '2-HIGH' AND o_orderkey % 3 = 0 THEN 'INFERENCE_REFUSED' END AS reason FROM orders LEFT JOIN customer ON c_custkey = o_custkey""")
+def release(spark, d):
+    """Orders stand for values, customers for panels."""
+    o = t(spark, d, "orders")
+    tier = F.when(F.col("o_orderpriority") == "5-LOW", "R4").when(F.col("o_orderpriority") == "2-HIGH", "R3").otherwise("R0")
+    v = o.select(F.col("o_orderkey").alias("unit"), F.col("o_custkey").alias("panel"), tier.alias("tier"), F.col("o_orderkey").alias("inference_id"), F.col("o_orderpriority"))
+    asked = v.where("tier = 'R3'").select("inference_id", "panel").union(v.where("panel % 14 = 0").select(-F.col("unit"), "panel"))
+    answers = v.where("tier = 'R3'").select("inference_id", "panel", (F.col("unit") % 3 != 0).alias("confirmed"))
+    blamed = v.where("panel % 11 = 0").select("unit")
+    approved = t(spark, d, "customer").select(F.col("c_custkey").alias("panel"), (F.col("c_custkey") % 2 == 0).alias("approved"))
+    return V.finalize(v, blamed, approved, answers, asked).select("unit", "reason")
+
+
+@query("""WITH q AS (SELECT c_custkey AS panel, CASE c_custkey % 4 WHEN 0 THEN 'BAR_MONO_GEOMETRY_RESOLVED' WHEN 1 THEN 'BAR_MONO_GEOMETRY' WHEN 2 THEN 'OVERLAY' ELSE 'WPD_ONLY' END AS mode FROM customer),
+n AS (SELECT panel, unnest(CASE mode WHEN 'BAR_MONO_GEOMETRY_RESOLVED' THEN ['OVERLAY', 'GEOMETRY', 'RESOLUTION'] WHEN 'BAR_MONO_GEOMETRY' THEN ['OVERLAY', 'GEOMETRY'] WHEN 'OVERLAY' THEN ['OVERLAY'] ELSE ['WPD_PROJECT'] END) AS ty FROM q),
+a AS (SELECT DISTINCT o_custkey AS panel, CASE o_orderstatus WHEN 'F' THEN 'OVERLAY' WHEN 'O' THEN 'GEOMETRY' ELSE 'WPD_PROJECT' END AS ty FROM orders) SELECT panel, string_agg(ty, ',' ORDER BY ty) AS missing FROM n WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.panel = n.panel AND a.ty = n.ty) GROUP BY 1""")
+def missing_artifacts(spark, d):
+    k = F.col("c_custkey") % 4
+    q = t(spark, d, "customer").select(F.col("c_custkey").alias("panel"), V.review_mode(k <= 1, k == 0, k == 2).alias("mode"))
+    a = t(spark, d, "orders").select(F.col("o_custkey").alias("panel"), F.when(F.col("o_orderstatus") == "F", "OVERLAY").when(F.col("o_orderstatus") == "O", "GEOMETRY").otherwise("WPD_PROJECT").alias("type"))
+    return V.missing_artifacts(q, a).select("panel", F.array_join("missing", ",").alias("missing"))
+
+
+@query("SELECT o_orderkey AS value, sha256(o_custkey || '|' || o_orderkey || '|' || o_orderstatus || '|A|B||' || o_orderkey) AS inference_id FROM orders WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM')")
+def inference_manifest(spark, d):
+    o = t(spark, d, "orders")
+    tier = F.when(F.col("o_orderpriority") == "2-HIGH", "R3").when(F.col("o_orderpriority") == "3-MEDIUM", "R2").otherwise("R0")
+    v = o.select(F.col("o_custkey").alias("panel"), F.col("o_orderkey").alias("unit"), F.col("o_orderstatus").alias("cell"), F.lit("A").alias("identity_method"), F.lit("B").alias("value_method"), F.lit("").alias("dispersion_method"), F.col("o_orderkey").alias("value"), tier.alias("tier"))
+    return V.inference_ids(v).select("value", "inference_id")
+
+
+@query("""SELECT a.l_orderkey AS k, upper(trim(a.l_returnflag)) AS first, upper(trim(b.l_returnflag)) AS second FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2 WHERE a.l_returnflag <> b.l_returnflag""")
+def reviewer_disagreement(spark, d):
+    li = t(spark, d, "lineitem").withColumnRenamed("l_orderkey", "k")
+    return V.disagreements(li.where("l_linenumber = 1"), li.where("l_linenumber = 2"), "k", "l_returnflag")
+
+
+@query(r"""WITH c AS (SELECT doc_id, 'Fig. ' || (doc_id % 9) || '. ' || text || chr(10) || 'Figure ' || (doc_id % 7) || ' tail' || chr(10) || 'Fig. 4A. panel' AS t FROM documents), l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS text, unnest(range(len(string_split(t, chr(10))))) AS line FROM c),
+m AS (SELECT doc_id, line, regexp_extract(text, '^\s*(?i:fig(?:ure)?s?)[. ]*\s*([0-9]{1,3})([A-Za-z]?)\b[ .:|-]*(.*)$', 1) AS n, regexp_extract(text, '^\s*(?i:fig(?:ure)?s?)[. ]*\s*([0-9]{1,3})([A-Za-z]?)\b[ .:|-]*(.*)$', 2) AS p, trim(regexp_extract(text, '^\s*(?i:fig(?:ure)?s?)[. ]*\s*([0-9]{1,3})([A-Za-z]?)\b[ .:|-]*(.*)$', 3)) AS body FROM l)
+SELECT doc_id, CAST(line AS INTEGER) AS line, CAST(n AS INTEGER) AS number, round(greatest(1.0 - CASE WHEN length(body) < 25 THEN 0.4 ELSE 0 END - CASE WHEN count(*) OVER (PARTITION BY doc_id, n) > 1 THEN 0.3 ELSE 0 END - CASE WHEN regexp_matches(body, '^[a-z]') THEN 0.3 ELSE 0 END - CASE WHEN line = 0 THEN 0.1 ELSE 0 END, 0), 2) AS confidence FROM m WHERE n <> '' AND p = ''""")
+def caption_candidates(spark, d):
+    c = t(spark, d, "documents").select("doc_id", F.concat(F.lit("Fig. "), F.col("doc_id") % 9, F.lit(". "), "text", F.lit("\nFigure "), F.col("doc_id") % 7, F.lit(" tail\nFig. 4A. panel")).alias("t"))
+    return I.caption_candidates(c, "doc_id", "t").drop("body")
+
+
+@query("""WITH b AS (SELECT l_partkey AS page, l_orderkey * 10 + l_linenumber AS k, l_quantity AS claim, epoch_us(l_shipdate) AS lo, epoch_us(l_shipdate) + 20 * 86400000000 AS hi FROM lineitem), w AS (SELECT *, max(hi) OVER (PARTITION BY page ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM b),
+r AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo > reach THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS run FROM w) SELECT k, row_number() OVER (PARTITION BY page, run ORDER BY claim DESC, k) > 1 AS blocked FROM r""")
+def duplicate_boxes(spark, d):
+    """Overlapping intervals of a page are one box; the strongest claim stays."""
+    lo = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    b = t(spark, d, "lineitem").select(F.col("l_partkey").alias("page"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"), F.col("l_quantity").alias("claim"), lo.alias("lo"), (lo + F.lit(20 * 86_400_000_000)).alias("hi"))
+    return E.strongest_box(R.overlap_runs(b, ["page"], "lo", "hi"), ["page"], "claim", "k").select("k", "blocked")
+
+
+@query(f"""WITH {LEVELS_SQL}, {CELLS_SQL}, u AS (SELECT n_nationkey AS unit FROM nation), m AS (SELECT u.unit, d.cell FROM u CROSS JOIN declared d WHERE NOT EXISTS (SELECT 1 FROM cells c WHERE c.unit = u.unit AND c.cell = d.cell)),
+lv AS (SELECT unit, l FROM u CROSS JOIN (SELECT unnest(['PRIORITY=1-URGENT', 'PRIORITY=2-HIGH', 'PRIORITY=3-MEDIUM', 'PRIORITY=4-NOT SPECIFIED', 'PRIORITY=5-LOW', 'STATUS=F', 'STATUS=O', 'STATUS=P', 'STATUS=X']) AS l))
+SELECT 'unit' AS scope, 'FACTORIAL_CELL_MISSING' AS code, count(DISTINCT unit) AS n FROM m HAVING count(*) > 0 UNION ALL SELECT 'unit', 'FACTOR_LEVEL_MISSING', count(*) FROM lv WHERE NOT EXISTS (SELECT 1 FROM cells c WHERE c.unit = lv.unit AND contains(';' || c.cell || ';', ';' || l || ';')) HAVING count(*) > 0
+UNION ALL SELECT 'values', 'IMPLAUSIBLE_VALUE', count(*) FROM cells WHERE mean_cents NOT BETWEEN 10000000 AND 40000000 HAVING count(*) > 0 UNION ALL SELECT 'values', 'DISPERSION_NONPOSITIVE', count(*) FROM cells WHERE n = 1 HAVING count(*) > 0""")
+def bundle_gate(spark, d):
+    """Nations stand for units, their cells of orders for values; the whole four-table gate, problems counted by code."""
+    cells = _cells(spark, d)
+    text = lambda c: F.col(c).cast("string")
+    figures = spark.createDataFrame([("2", "F1", "1", "a", "1", "1", "", "MATCHED", "1", "1", "")], ", ".join(f"{c} string" for c in ("_line", *B.FIGURE_COLUMNS)))
+    grids = spark.createDataFrame([(str(i + 2), "G1", r["factor"], r["level"], str(i)) for i, r in enumerate(_levels(spark).collect())], "_line string, Grid_ID string, Factor_Name string, Factor_Level string, Level_Order string")
+    fixed = {"Figure_ID": "F1", "Grid_ID": "G1", "Panel": "A", "Outcome_Variable": "Order total", "Unit": "cents", "Statistic_Type": "CONTINUOUS", "Extraction_Method": "TRANSCRIBED", "Grid_Rule": "FULL", "Dispersion_Type": "SD", "Errorbar_Definition_Source": "SD", "N_Outcome": "10", "Value_Scale": "RATIO", "Analysis_Transformation": "UNTRANSFORMED", "Distribution_Shape": "SYMMETRIC"}
+    units = t(spark, d, "nation").select(text("n_nationkey").alias("_line"), text("n_nationkey").alias("Unit_ID"), *[F.lit(v).alias(k) for k, v in fixed.items()])
+    values = cells.select(F.concat_ws("/", text("unit"), "cell").alias("_line"), text("unit").alias("Unit_ID"), F.col("cell").alias("Cell_Key"), text("mean_cents").alias("Mean"), (F.col("n") - 1).cast("string").alias("Dispersion_Value"))
+    ranges = spark.createDataFrame([("Order total", 10_000_000, 40_000_000)], "outcome string, low int, high int")
+    return B.check_bundle(figures, grids, units, values, ranges).groupBy("scope", "code").agg(F.count("*").alias("n"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
