@@ -38,7 +38,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FLUSH_CHARS, arrow_schema, read_table
+from .common import FLUSH_CHARS, arrow_schema, read_table, tidied
 
 #: The words that merges do not cross (the file's byte-level splitter).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -70,7 +70,7 @@ LONG_WORD = 64
 #: Bytes merged at once in a long word, besides the lookahead.
 WINDOW = 4096
 #: Words kept; beyond, a task starts anew.
-CACHE = 500_000
+CACHE = 300_000
 _RANK = 1 << 20
 
 
@@ -288,6 +288,7 @@ def _mapped(df: DataFrame, column: str, each, out_field: str) -> DataFrame:
     arrow = arrow_schema(full)
     at = kept.columns.index(column)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = each()
         for batch in batches:
@@ -327,9 +328,38 @@ def decode(coded: DataFrame, ids: str = "ids", text: str = "decoded", path: str
     return _mapped(coded.drop(text), ids, each, "string").withColumnRenamed(f"_made_{ids}", text)
 
 
+def round_trip(docs: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded", path: str | None = None) -> DataFrame:
+    """encode() and decode() in one pass: docs with ids and the text that they decode to; one worker a task holds both machines."""
+    path = path or vocabulary()
+    kept = docs.drop(ids, decoded)
+    schema = kept.sparkSession.createDataFrame([], "_ids array<int>, _decoded string").schema
+    full = type(kept.schema)([*kept.schema.fields, *schema.fields])
+    arrow = arrow_schema(full)
+    at = kept.columns.index(text)
+
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(merges_of(path)), Decoder(merges_of(path))
+        for batch in batches:
+            lo, size, coded, plain = 0, 0, [], []
+            texts = batch.column(at)
+            for i in range(batch.num_rows):
+                coded.append(encoder.encode(texts[i].as_py()))
+                plain.append(decoder.whole(coded[-1].tolist()))
+                size += len(plain[-1])
+                if size >= FLUSH_CHARS or i + 1 == batch.num_rows:
+                    ends = np.concatenate(([0], np.cumsum([len(x) for x in coded]))).astype(np.int32)
+                    cols = [batch.column(k).slice(lo, len(coded)).cast(arrow.field(k).type) for k in range(batch.num_columns)]
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(coded)), type=arrow.field(len(cols)).type)
+                    yield pa.RecordBatch.from_arrays([*cols, lists, pa.array(plain, pa.string())], schema=arrow)
+                    lo, size, coded, plain = i + 1, 0, [], []
+
+    return kept.mapInArrow(run, full).withColumnRenamed("_ids", ids).withColumnRenamed("_decoded", decoded)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = encode(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    return decode(coded).select(
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    return round_trip(docs).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

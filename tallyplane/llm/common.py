@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,9 +16,19 @@ from pyspark.sql import functions as F
 
 #: Texts of a batch are handed on in pieces of about so many characters, so that a worker's memory does not follow the batch.
 FLUSH_CHARS = 4_000_000
+#: Rows and bytes of an Arrow batch. Texts are long: Spark's default of 10,000 rows would put tens of megabytes, several times over, into each worker.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches to BATCH where they are at Spark's defaults; an own setting stays."""
+    for key, (default, ours) in BATCH.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, ours)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -53,6 +67,22 @@ def with_size_check(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if small_enough(df, rows) else df
 
 
+def tidied(run: Callable) -> Callable:
+    """run, after whose end a reused worker gives its freed memory back: allocators keep it otherwise, beside the executor's heap."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def map_texts(
     df: DataFrame,
     columns: list[str],
@@ -72,6 +102,7 @@ def map_texts(
     arrow = arrow_schema(out)
     n_keep = len(columns) + int(keep_text)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_texts, read_table
+from .common import map_texts, read_table, tidied
 
 #: Most texts that the fit sees.
 SAMPLE = 20_000
@@ -129,6 +129,7 @@ def fit_language(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
     if n > sample:
         known = known.where(F.pmod(F.xxhash64("_k"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
 
+    @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = {}
         for b in batches:

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, read_table
+from .common import arrow_schema, read_table, tidied
 
 #: Code points on either side of a cue that belong to its block.
 BLOCK = 1600
@@ -182,6 +182,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     schema = docs.sparkSession.createDataFrame([], f"`{key}` {src.schema[0].dataType.simpleString()}, {FOUND}").schema
     arrow = arrow_schema(schema)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [(k.as_py(), *r) for k, t in zip(b.column(0), b.column(1), strict=True) for r in scan(t.as_py())]

@@ -35,12 +35,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import FLUSH_CHARS, arrow_schema, read_table, staged, with_size_check
+from .common import FLUSH_CHARS, arrow_schema, read_table, staged, tidied, with_size_check
 from .components import components
 
 #: Buckets of the sketch, and parts into which it is cut for summing.
@@ -50,7 +49,7 @@ FREQUENT = 64
 #: 64-bit words of a set's bitmap.
 BITMAP = 8
 #: Sets that a task remembers, to index copies once; forgetting only repeats work.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Keys that may be broadcast (8 bytes each); beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
@@ -171,9 +170,10 @@ def _scan_sets(docs: DataFrame, key: str, text: str, words: int, salt: int) -> D
     schema = docs.sparkSession.createDataFrame([], f"doc {src.schema[0].dataType.simpleString()}, n long, node long, more long, {', '.join(f'b{i} long' for i in range(BITMAP))}, part int, counts binary").schema
     arrow = arrow_schema(schema)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        shift, seen, held, size = _U(64 - SKETCH_BITS), set(), [], 0
+        shift, seen = _U(64 - SKETCH_BITS), set()
         for b in batches:
             rows = []
             for t in b.column(1):
@@ -187,16 +187,10 @@ def _scan_sets(docs: DataFrame, key: str, text: str, words: int, salt: int) -> D
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen.add(node)
-                    held.append(s >> shift)
-                    size += len(s)
-                    if size > 2_000_000:
-                        counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts)).astype(np.uint32)
-                        held, size = [], 0
+                    np.add.at(counts, (s >> shift).astype(np.int64), 1)
             k = len(rows)
             cols = [pa.array([r[c] for r in rows], pa.int64()) for c in range(3 + BITMAP)]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(arrow.field(0).type), *cols, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=arrow)
-        if held:
-            counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts)).astype(np.uint32)
         parts = [(i, zlib.compress(p.tobytes(), 1)) for i, p in enumerate(np.split(counts, SKETCH_PARTS)) if p.any()]
         if parts:
             k = len(parts)
@@ -211,23 +205,23 @@ def _frequent_bits(sketch: DataFrame, total: int) -> bytes:
     mean = total / (1 << SKETCH_BITS)
     limit = mean + max(FREQUENT, 6 * math.sqrt(mean))
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint64)
-        for x in pdf["counts"]:
-            counts += np.frombuffer(zlib.decompress(x), np.uint32)
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [np.packbits(counts > limit).tobytes()]})
+    def total_of(t):
+        counts = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint32)
+        for x in t.column("counts"):
+            counts += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
+        return counts
+
+    def add(key, t):
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(total_of(t) > limit).tobytes()], pa.binary())})
 
     # sums of a few parts by salt first, so that no task gets all tasks' rows of a part
-    def presum(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint32)
-        for x in pdf["counts"]:
-            counts += np.frombuffer(zlib.decompress(x), np.uint32)
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "counts": [zlib.compress(counts.tobytes(), 1)]})
+    def presum(key, t):
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([zlib.compress(total_of(t).tobytes(), 1)], pa.binary())})
 
-    some = sketch.withColumn("salt", F.pmod(F.xxhash64("counts"), F.lit(8))).groupBy("part", "salt").applyInPandas(presum, "part int, counts binary")
+    some = sketch.withColumn("salt", F.pmod(F.xxhash64("counts"), F.lit(8))).groupBy("part", "salt").applyInArrow(presum, "part int, counts binary")
     size = (1 << SKETCH_BITS) // SKETCH_PARTS // 8
     out = bytearray(size * SKETCH_PARTS)
-    for r in some.groupBy("part").applyInPandas(add, "part int, bits binary").collect():
+    for r in some.groupBy("part").applyInArrow(add, "part int, bits binary").collect():
         out[r["part"] * size : (r["part"] + 1) * size] = r["bits"]
     return bytes(out)
 
@@ -238,6 +232,7 @@ def _postings(docs: DataFrame, text: str, words: int, percent: int, salt: int, b
     schema = docs.sparkSession.createDataFrame([], "sig long, node long, meta long").schema
     arrow = arrow_schema(schema)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         shift, seen = _U(64 - SKETCH_BITS), set()
@@ -277,6 +272,7 @@ def _sets(docs: DataFrame, text: str, words: int, salt: int) -> DataFrame:
     schema = docs.sparkSession.createDataFrame([], "node long, tokens array<long>").schema
     arrow = arrow_schema(schema)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             nodes, sets, size = [], [], 0
@@ -390,3 +386,15 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)] END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.root)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(root) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""

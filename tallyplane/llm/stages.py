@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate as template, ngram_join, quality as rules, secret_scan
-from .common import read_table, staged, with_size_check
+from .common import read_table, small_batches, staged, with_size_check
 
 #: Keys that may be broadcast; beyond, an anti join shuffles.
 KEYS = 1_000_000
@@ -36,10 +36,11 @@ def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold. The rules are fitted on the labelled rows of docs."""
+    small_batches(spark)
     model = rules.fit_quality(docs, read_table(spark, sf_dir, "labels"))
     s = free_name(docs, "_stats")
     names = [free_name(docs, f"_{x}") for x in rules.STATS]
-    stats = F.udf(lambda t: rules.stats(t), "struct<" + ",".join(f"{x}:double" for x in rules.STATS) + ">", useArrow=True)
+    stats = F.udf(rules.stats, "struct<" + ",".join(f"{x}:double" for x in rules.STATS) + ">", useArrow=True)
     wide = docs.withColumn(s, stats(F.col("text")))
     wide = wide.withColumns({n: F.col(s)[x] for n, x in zip(names, rules.STATS, strict=True)})
     return wide.where(model.column(names) >= rules.THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -48,6 +49,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id; texts without a word are no duplicates."""
     k = free_name(docs, "_key")
+    small_batches(spark)
     found = ngram_join.jaccard_components(docs.select(row_key().alias(k), "text"), key=k)
     keys = staged(found.where("n_shingles > 0").groupBy(F.col(k).alias("key")).agg(F.min("component_id").alias("least"), F.count("*").alias("c")), "keys")
     kept = without(docs, keys.where(F.col("key") != F.col("least")).select("key"))
@@ -68,6 +70,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, secrets replaced by their kinds; n_chars follows where the text changed."""
+    small_batches(spark)
     old = free_name(docs, "_old")
     out = secret_scan.redact_secrets(docs.withColumn(old, F.col("text")))
     if "n_chars" in docs.columns:
@@ -78,5 +81,5 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids, their number, and whether they decode to the text."""
-    coded = bpe.encode(docs.select("doc_id", "text"))
-    return bpe.decode(coded).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    small_batches(spark)
+    return bpe.round_trip(docs.select("doc_id", "text")).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, tidied
 
 #: Rows of a block of rows and of a block of queries.
 BLOCK_ROWS, BLOCK_QUERIES = (2048, 65536), 4096
@@ -125,6 +125,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         ask = ask.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
         met = cand.join(ask.withColumnRenamed("qb", "qb2").withColumnRenamed("salt", "salt2"), (F.col("qb") == F.col("qb2")) & (F.col("salt") == F.col("salt2")) & (F.col("width") == F.col("qw")))
 
+    @tidied
     def search(batches):
         for b in batches:
             for r in b.to_pylist():
