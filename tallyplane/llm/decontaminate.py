@@ -83,3 +83,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def _sql_words(table: str, key: str) -> str:
+    """raw_words and template_words in DuckDB's dialect."""
+    name, num, unit = ("chr(2)", "chr(1)", "chr(3)")
+    r = "regexp_replace(text, '([0-9])[.,:/]([0-9])', '\\1\\2', 'g')"
+    r = f"regexp_replace({r}, '(\\p{{Lu}}\\p{{Ll}}+)', {name} || '\\1', 'g')"
+    r = f"regexp_replace({r}, '(^|[.!?:][\"'')]?\\s+)' || {name}, '\\1', 'g')"
+    r = f"trim(regexp_replace({r}, '[^\\p{{L}}\\p{{N}}' || {name} || ']+', ' ', 'g'))"
+    t = f"regexp_replace(lower(raw), {name} || '[^ ]+', {name}, 'g')"
+    t = f"regexp_replace({t}, '(^| )[0-9][^ ]*', '\\1' || {num}, 'g')"
+    t = f"regexp_replace({t}, '(' || {num} || ' )({'|'.join(UNITS)})( |$)', '\\1' || {unit} || '\\3', 'g')"
+    return f"(SELECT k, string_split({t}, ' ') AS words, string_split(raw, ' ') AS raws FROM (SELECT {key} AS k, {r} AS raw FROM {table} WHERE {key} IS NOT NULL) WHERE raw <> '')"
+
+
+_SLOT = "(chr(1), chr(2), chr(3))"
+OP5_SQL = f"""
+WITH bw AS {_sql_words('benchmark', 'item_id')}, dw AS {_sql_words('documents', 'doc_id')},
+b AS (SELECT DISTINCT k, pos, words[pos + 1 : pos + {WINDOW}] AS win, raws[pos + 1 : pos + {WINDOW}] AS raw FROM (SELECT *, unnest(range(0, greatest(len(words) - {WINDOW}, 0) + 1)) AS pos FROM bw)),
+bt AS (SELECT * FROM b WHERE len([w for w in win if w NOT IN {_SLOT}]) >= least({LITERAL}, len(win))),
+n AS (SELECT k, count(DISTINCT pos) AS n_item FROM bt GROUP BY 1),
+d AS (SELECT k, pos, words[pos + 1 : pos + {WINDOW}] AS win, raws[pos + 1 : pos + {WINDOW}] AS raw FROM (SELECT *, unnest(range(0, greatest(len(words) - {WINDOW}, 0) + 1)) AS pos FROM dw)),
+h AS (SELECT d.k AS dk, bt.k AS bk, bt.pos AS bpos, d.pos - bt.pos AS line, bt.win, bt.raw AS braw, d.raw AS draw FROM d JOIN bt ON d.win = bt.win),
+s AS (SELECT dk, bk, line, lower(braw[i]) AS bv, lower(draw[i]) AS dv FROM (SELECT *, unnest(range(1, len(win) + 1)) AS i FROM h) WHERE win[i] IN {_SLOT}),
+x AS (SELECT DISTINCT dk, bk, line FROM (SELECT dk, bk, line, bv FROM s GROUP BY ALL HAVING count(DISTINCT dv) > 1)),
+c AS (SELECT dk, bk, count(DISTINCT bpos) AS n_windows FROM h WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.dk = h.dk AND x.bk = h.bk AND x.line = h.line) GROUP BY 1, 2)
+SELECT dk AS doc_id, bk AS item_id, n_windows, n_item FROM c JOIN n ON n.k = bk WHERE n_windows * 100 >= n_item * {SHARE} AND n_windows >= least({LEAST}, n_item)
+"""

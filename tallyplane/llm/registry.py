@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from .bpe import op2_bpe
-from .decontaminate import op5_decontamination
+from .decontaminate import OP5_SQL, op5_decontamination
 from .language import op7_language
 from .license_scan import op8_licenses
-from .ngram_join import op9_jaccard_join
+from .ngram_join import OP9_SQL, op9_jaccard_join
 from .pii import op4_pii
 from .quality import op6_quality
 from .secret_scan import op3_secret_scans
@@ -20,4 +20,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": OP1_SQL}
+    return {"op1_topk_search": OP1_SQL, "op5_decontamination": OP5_SQL, "op9_jaccard_join": OP9_SQL}

@@ -424,6 +424,26 @@ def test_pipeline_odd_rows(spark):
     assert stages.tokenize(spark, rows, d).where("round_trip").count() == 7
 
 
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_agrees_with_sql(spark, sf, name):
+    import duckdb
+
+    c = duckdb.connect()
+    for t in ("documents", "embeddings", "benchmark"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    df = registry.queries()[name](spark, sf)
+    q = c.execute(registry.oracle_sql()[name])
+    have = [x[0] for x in q.description]
+    assert sorted(have) == sorted(df.columns)
+    assert sorted(tuple(r[x] for x in have) for r in df.collect()) == sorted(q.fetchall())
+
+
+def test_encode_and_decode_apart(spark):
+    df = docs_of(spark, ["a b", None, "é<|endoftext|>"]).withColumn("decoded", F.lit(1))
+    got = bpe.decode(bpe.encode(df)).orderBy("doc_id").collect()
+    assert [r["decoded"] for r in got] == ["a b", "", "é<|endoftext|>"] and got[2]["ids"][-1] == 50256
+
+
 def test_registry():
     assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 11)]
     assert set(registry.oracle_sql()) <= set(registry.queries())
