@@ -147,7 +147,7 @@ def blame(problems: DataFrame, units: DataFrame) -> DataFrame:
     direct = problems.where(F.col("scope").isin("values", "units")).select(F.col("key").alias("unit"), "code")
     by = lambda scope, col: problems.where(F.col("scope") == scope).join(units, F.col("key") == F.col(col)).select("unit", "code")
     lost = problems.where(~F.col("scope").isin("values", "units", "figures", "grids")).select(F.concat(F.lit("UNATTRIBUTED_QC_SCOPE:"), F.col("scope")).alias("code")).distinct()
-    every = units.select("unit").distinct().join(F.broadcast(lost.limit(1000)), F.lit(True)) if lost.limit(1).count() else None
+    every = units.select("unit").distinct().join(F.broadcast(lost.agg(F.collect_set("code").alias("_c"))), F.lit(True)).select("unit", F.explode("_c").alias("code")) if lost.limit(1).count() else None
     out = direct.unionByName(by("figures", "figure")).unionByName(by("grids", "grid"))
     return (out if every is None else out.unionByName(every)).distinct()
 
