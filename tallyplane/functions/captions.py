@@ -34,9 +34,27 @@ def route(c: Column, states_dispersion: Column, target_terms: tuple[str, ...] =
     )
 
 
+LETTER_PATTERNS = (r"\(([A-Ha-h])\)", r"Fig(?:ure)?s?\.?\s*[0-9]+\s*([A-Ha-h])\b")
+LETTER_RANGE = r"(?i)panels?\s+([A-H])\s*(?:[-–to]+)\s*([A-H])\b"
+
+
 def panel_letters(c: Column) -> Column:
-    """Letters A to H in brackets, sorted."""
-    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"\(([A-Ha-h])\)"), 1), F.upper)))
+    """Sorted letters A to H that a caption names: in brackets, after a figure's number, or as a range of panels."""
+    text = F.coalesce(c, F.lit(""))
+    found = F.concat(*[F.regexp_extract_all(text, F.lit(p), 1) for p in LETTER_PATTERNS])
+    ends = F.arrays_zip(*[F.regexp_extract_all(text, F.lit(LETTER_RANGE), g).alias(n) for g, n in ((1, "a"), (2, "b"))])
+    code = lambda x: F.ascii(F.upper(x))
+    spans = F.flatten(F.transform(ends, lambda e: F.transform(F.sequence(F.least(code(e["a"]), code(e["b"])), F.greatest(code(e["a"]), code(e["b"]))), lambda n: F.char(n))))
+    return F.array_sort(F.array_distinct(F.concat(F.transform(found, F.upper), spans)))
+
+
+def own_caption(c: Column) -> Column:
+    """A caption cut where the next figure's label begins; a label at its very start is its own."""
+    cap = caption_text(c)
+    label = r"(?i)fig(?:ure)?s?\.?\s*[0-9]+[a-z]?"
+    head = F.when(cap.rlike("^" + label), F.regexp_extract(cap, "^(" + label + ")", 1)).otherwise("")
+    rest = F.substring(cap, F.length(head) + 1, F.length(cap))
+    return F.trim(F.concat(head, F.regexp_extract(rest, r"(?s)^(.*?)(?:(?i:fig(?:ure)?s?\.?\s*[0-9]+[a-z]?).*)?$", 1)))
 
 
 def panel_confidence(n: Column) -> Column:

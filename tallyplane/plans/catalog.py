@@ -201,7 +201,7 @@ def plausibility_ranges(spark, d):
     return c.select("c_custkey", code.alias("code")).where("code is not null")
 
 
-PREFIXES = ("Fig. 1. Schematic of the protocol (A). ", "Fig. 2. Incidence of events; mean ± SD. ", "Fig. 3. Correlation of x and y (r = 0.5). ", "Fig. 4. Heart rate (A) and pressure (B), means ± SEM. ", "Fig. 5. Values with standard deviations and standard errors. ", "Fig. 6. Plain values ± spread. ")
+PREFIXES = ("Fig. 1. Schematic of the protocol (A). ", "Fig. 2. Incidence of events; mean ± SD. ", "Fig. 3. Correlation of x and y (r = 0.5). ", "Fig. 4. Heart rate (A) and pressure (B), means ± SEM. ", "Fig. 5b. Panels a-c: values with standard deviations and standard errors. ", "Fig. 6. Plain values ± spread. ")
 _PREFIX_SQL = "[" + ", ".join(f"'{p}'" for p in PREFIXES) + "]"
 
 
@@ -233,7 +233,11 @@ def errorbar_definition(spark, d):
     return _captions(spark, d).select("doc_id", C.errorbar_definition(F.col("caption")).alias("definition"))
 
 
-@query(f"WITH c AS (SELECT doc_id, {_PREFIX_SQL}[CAST(doc_id % {len(PREFIXES)} + 1 AS INTEGER)] || text AS cap FROM documents), p AS (SELECT doc_id, list_sort(list_distinct(list_transform(regexp_extract_all(cap, '\\(([A-Ha-h])\\)', 1), lambda x: upper(x)))) AS l FROM c) SELECT doc_id, array_to_string(l, ',') AS letters, CASE WHEN len(l) >= 2 THEN 'CAPTION_ENUMERATES' WHEN len(l) = 1 THEN 'SINGLE_KEY_ONLY' ELSE 'NO_KEY' END AS confidence FROM p")
+_LETTERS = " || ".join(f"list_transform(regexp_extract_all(cap, '{p}', 1), lambda x: upper(x))" for p in C.LETTER_PATTERNS)
+_RANGES = f"flatten(list_transform(list_zip(regexp_extract_all(cap, '{C.LETTER_RANGE}', 1), regexp_extract_all(cap, '{C.LETTER_RANGE}', 2)), lambda p: [chr(CAST(i AS INTEGER)) for i in range(least(ascii(upper(p[1])), ascii(upper(p[2]))), greatest(ascii(upper(p[1])), ascii(upper(p[2]))) + 1)]))"
+
+
+@query(f"WITH c AS (SELECT doc_id, {_PREFIX_SQL}[CAST(doc_id % {len(PREFIXES)} + 1 AS INTEGER)] || text AS cap FROM documents), p AS (SELECT doc_id, list_sort(list_distinct({_LETTERS} || {_RANGES})) AS l FROM c) SELECT doc_id, array_to_string(l, ',') AS letters, CASE WHEN len(l) >= 2 THEN 'CAPTION_ENUMERATES' WHEN len(l) = 1 THEN 'SINGLE_KEY_ONLY' ELSE 'NO_KEY' END AS confidence FROM p")
 def caption_panels(spark, d):
     p = _captions(spark, d).select("doc_id", C.panel_letters(F.col("caption")).alias("l"))
     return p.select("doc_id", F.array_join("l", ",").alias("letters"), C.panel_confidence(F.size("l")).alias("confidence"))

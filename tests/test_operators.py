@@ -56,6 +56,12 @@ def test_route(spark):
     assert r("Heart rate") == "DIGITIZE"
 
 
+def test_panels_and_own_caption(spark):
+    assert one(spark, "Fig. 4A shows (c); panels e-g", C.panel_letters) == ["A", "C", "E", "F", "G"]
+    assert one(spark, "Fig. 1 Time course of HR. Fig. 2 Sectional change", C.own_caption) == "Fig. 1 Time course of HR."
+    assert one(spark, "Time course", C.own_caption) == "Time course"
+
+
 def test_expected_cells(spark):
     levels = spark.createDataFrame([("g", "A", "1"), ("g", "A", "2"), ("g", "B", "x"), ("g", "B", "y"), ("g", "C", "z"), ("h", "A", "1")], "grid string, factor string, level string")
     got = {(r["grid"], r["cell"]) for r in G.expected_cells(levels, "grid", "factor", "level").collect()}
