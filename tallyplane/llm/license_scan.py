@@ -1,6 +1,6 @@
 """License scans: conditional compression.
 
-Lines with a cue word are cut out as candidate blocks. Each block is compressed by itself and with every
+The surroundings of cue words are cut out as candidate blocks. Each block is compressed by itself and with every
 template as a zstandard raw-content dictionary; what the dictionary saves, as a share, ranks the
 templates (ties: the template listed first). The leading templates are confirmed by exact wording differences: the
 block's words are aligned with the template's, and the match counts if the template's words are
@@ -8,8 +8,10 @@ there but for at most TOLERANCE of them, with every word that tells licences apa
 
 One row for each confirmed block: key, start and end in code points, the license, the form
 (notice or text), the saving, words missing and words added, and whether the wording is exact. Null and empty texts
-give no rows. A line of any length is scanned whole: windows of BLOCK characters around each cue, joined where
-they overlap, so that many cues do not multiply the work.
+give no rows. Blocks are windows of BLOCK characters around each cue, whatever the line ends and blank lines
+in them, joined where they overlap, so that many cues do not multiply the work.
+Every cue's window lies whole in some block; where joined blocks reach their longest and the next one overlaps
+them, the match with the fewest words missing stays.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import difflib
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -79,23 +82,14 @@ def words_of(text: str) -> list[tuple[str, int, int]]:
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
-    """Windows around the cues, cut at line ends where a line is not itself part of a cue's neighbourhood; overlapping ones are one."""
+    """Windows of BLOCK characters around the cues, across line ends and blank lines; overlapping ones are one, up to four windows' length."""
     if not any(p in text for p in CUE_PARTS) and not any(p in text.lower() for p in CUE_PARTS):
         return []
     out: list[list[int]] = []
     for m in CUE.finditer(text):
-        line = text.rfind("\n", 0, m.start()) + 1
-        lo = max(line, m.start() - BLOCK)
-        end = text.find("\n", m.end())
-        hi = min(end if end >= 0 else len(text), m.end() + BLOCK)
-        while hi < len(text) and hi - m.start() < BLOCK and text[hi] == "\n":  # a text over several lines
-            nxt = text.find("\n", hi + 1)
-            nxt = nxt if nxt >= 0 else len(text)
-            if not text[hi + 1 : nxt].strip() or nxt - hi > 200:
-                break
-            hi = nxt
+        lo, hi = max(0, m.start() - BLOCK), min(len(text), m.end() + BLOCK)
         if out and lo <= out[-1][1] and hi - out[-1][0] <= 4 * BLOCK:
-            out[-1][1] = max(out[-1][1], hi)
+            out[-1][1] = hi
         else:
             out.append([lo, hi])
     return [(a, b) for a, b in out]
@@ -111,12 +105,23 @@ def compressors():
     return plain, own
 
 
-def savings(block: str) -> list[tuple[float, int]]:
+def possible(block: str) -> list[int]:
+    """Templates of whose words the block has enough, in whatever order, to be confirmed: no other can be."""
+    have = Counter(w for w, _, _ in words_of(block))
+    out = []
+    for i, (_, _, want, _) in enumerate(compressors()[1]):
+        lost = Counter(want) - have
+        if lost.total() <= TOLERANCE * len(want) and not any(w in TELLING and w not in have for w in lost):
+            out.append(i)
+    return out
+
+
+def savings(block: str, templates: list[int]) -> list[tuple[float, int]]:
     """(share saved, template) from the best; equal savings in the order of the templates."""
     raw = block.encode()
     plain, own = compressors()
     size = len(plain.compress(raw))
-    return sorted(((1 - len(c.compress(raw)) / size, i) for i, (_, _, _, c) in enumerate(own)), key=lambda x: (-x[0], x[1]))
+    return sorted(((1 - len(own[i][3].compress(raw)) / size, i) for i in templates), key=lambda x: (-x[0], x[1]))
 
 
 def confirmed(block: str, template: int) -> tuple[int, int, int, int] | None:
@@ -146,31 +151,45 @@ def confirmed(block: str, template: int) -> tuple[int, int, int, int] | None:
 def best_of(block: str) -> tuple[float, int, tuple[int, int, int, int]] | None:
     """Of the leading templates by saving, the confirmed one with the fewest differences."""
     best = None
-    for saved, i in savings(block)[:LEADERS]:
+    templates = possible(block)
+    for saved, i in savings(block, templates)[:LEADERS] if templates else []:
         c = confirmed(block, i)
         if c and saved > 0 and (best is None or c[2:] < best[2][2:]):
             best = (saved, i, c)
     return best
 
 
-def scan(text: str | None) -> list[tuple]:
-    out = []
-    for lo, hi in blocks(text or ""):
-        block, found = text[lo:hi], []
-        if whole := best_of(block):
-            found.append(whole)
-        # a short notice in a long line saves little there: the neighbourhood of each cue that is not covered yet
-        for m in CUE.finditer(block):
-            if any(c[0] <= m.start() < c[1] for _, _, c in found):
-                continue
-            a = max([0, m.start() - NEAR, *(c[1] for _, _, c in found if c[1] <= m.start())])
-            b = min([len(block), m.end() + NEAR, *(c[0] for _, _, c in found if c[0] >= m.end())])
+def found_in(block: str) -> list[tuple[float, int, tuple[int, int, int, int]]]:
+    found = []
+    if whole := best_of(block):
+        found.append(whole)
+    # a short notice in a long block saves little there: the neighbourhood of each cue that is not covered yet
+    for m in CUE.finditer(block):
+        if any(c[0] <= m.start() < c[1] for _, _, c in found):
+            continue
+        for width in (NEAR, BLOCK):
+            a = max([0, m.start() - width, *(c[1] for _, _, c in found if c[1] <= m.start())])
+            b = min([len(block), m.end() + width, *(c[0] for _, _, c in found if c[0] >= m.end())])
             if near := best_of(block[a:b]):
                 saved, i, (s, e, missing, added) = near
                 found.append((saved, i, (s + a, e + a, missing, added)))
-        for saved, i, (s, e, missing, added) in sorted(found, key=lambda x: x[2]):
-            name, form, _, _ = compressors()[1][i]
-            out.append((lo + s, lo + e, name, form, round(saved, 4), missing, added, missing == 0 and added == 0))
+                break
+    return found
+
+
+def scan(text: str | None) -> list[tuple]:
+    kept: list[tuple[float, int, tuple[int, int, int, int]]] = []
+    for lo, hi in blocks(text or ""):
+        for saved, i, (s, e, missing, added) in found_in(text[lo:hi]):
+            s, e = s + lo, e + lo
+            # blocks may overlap: the same text twice, or cut by the end of the first
+            same = [x for x in kept if x[2][0] < e and s < x[2][1]]
+            if all((missing, added) < x[2][2:] for x in same):
+                kept = [x for x in kept if x not in same] + [(saved, i, (s, e, missing, added))]
+    out = []
+    for saved, i, (s, e, missing, added) in sorted(kept, key=lambda x: x[2]):
+        name, form, _, _ = compressors()[1][i]
+        out.append((s, e, name, form, round(saved, 4), missing, added, missing == 0 and added == 0))
     return out
 
 

@@ -281,6 +281,22 @@ def test_op8(spark):
     assert [x[0] for x in got[6]] == ["MIT"] and sorted(x[0] for x in got[7]) == ["Apache-2.0", "MIT"]
 
 
+def test_op8_published_layout():
+    """Blank lines between paragraphs and items, a notice and CC0 wrapped before the cue word."""
+    text = lambda name: next(t for n, f, t in license_scan.TEMPLATES if (n, f) == (name, "text"))
+    mit = text("MIT").replace(" of this software", "\nof this software").replace("conditions: The", "conditions:\n\nThe")
+    bsd2, bsd3 = (re.sub(r" (?=[123]\. )", "\n\n", text(n)).replace(" notice, this", " notice,\n   this") for n in ("BSD-2-Clause", "BSD-3-Clause"))
+    cc0 = text("CC0-1.0").replace(" the author", "\nthe author")
+    gpl = "This work is\nlicensed under the GNU General Public License,\nversion 3"
+    for name, t in (("MIT", mit), ("BSD-2-Clause", bsd2), ("BSD-3-Clause", bsd3), ("CC0-1.0", cc0), ("GPL-3.0", gpl)):
+        whole = "Some prose first.\n\n" + t + "\n\nMore prose."
+        got = license_scan.scan(whole)
+        assert [(r[2], r[7]) for r in got] == [(name, True)], (name, got)
+        assert whole[got[0][0] : got[0][1]] in (t, t.rstrip(".")), name
+    long = ("a licence of a driver. " * 400 + "\n\n" + mit + "\n\n") * 2  # joined blocks at their longest
+    assert [(r[2], r[7]) for r in license_scan.scan(long)] == [("MIT", True)] * 2
+
+
 def test_op10_against_library(spark, sf):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
