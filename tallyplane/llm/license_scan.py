@@ -4,9 +4,10 @@ The surroundings of cue words are cut out as candidate blocks. Each block is com
 template as a zstandard raw-content dictionary; what the dictionary saves, as a share, ranks the
 templates (ties: the template listed first). The leading templates are confirmed by exact wording differences: the
 block's words are aligned with the template's, and the match counts if the template's words are
-there but for at most TOLERANCE of them, with every word that tells licences apart (names, numbers) present.
+there but for at most TOLERANCE of them, with every word that tells licences apart (names, numbers) present. After a
+match, what it leaves of the block on either side is compared anew, until no template is confirmed.
 
-One row for each confirmed block: key, start and end in code points, the license, the form
+One row for each match: key, start and end in code points, the license, the form
 (notice or text), the saving, words missing and words added, and whether the wording is exact. Null and empty texts
 give no rows. Blocks are windows of BLOCK characters around each cue, whatever the line ends and blank lines
 in them, joined where they overlap, so that many cues do not multiply the work.
@@ -129,12 +130,16 @@ def confirmed(block: str, template: int) -> tuple[int, int, int, int] | None:
     have = words_of(block)
     want = compressors()[1][template][2]
     match = difflib.SequenceMatcher(None, [w for w, _, _ in have], want, autojunk=False)
-    parts = [b for b in match.get_matching_blocks() if b.size]
-    # words far from the longest run are chance matches
-    if not parts:
+    main = match.find_longest_match(0, len(have), 0, len(want))
+    # words far from the longest run are chance matches or another copy: its neighbourhood is aligned
+    if not main.size:
         return None
+    slack = max(3, len(want) // 4)
+    have = have[max(0, main.a - main.b - slack) : main.a - main.b + len(want) + slack]
+    match.set_seq1([w for w, _, _ in have])
+    parts = [b for b in match.get_matching_blocks() if b.size]
     main = max(parts, key=lambda b: b.size)
-    parts = [b for b in parts if abs((b.a - b.b) - (main.a - main.b)) <= max(3, len(want) // 4)]
+    parts = [b for b in parts if abs((b.a - b.b) - (main.a - main.b)) <= slack]
     found = sum(b.size for b in parts)
     missing = len(want) - found
     lost = {want[i] for i in range(len(want)) if not any(b.b <= i < b.b + b.size for b in parts)}
@@ -160,19 +165,22 @@ def best_of(block: str) -> tuple[float, int, tuple[int, int, int, int]] | None:
 
 
 def found_in(block: str) -> list[tuple[float, int, tuple[int, int, int, int]]]:
+    """Matches of the block and, after each, of what it leaves on either side, until nothing more is confirmed."""
     found = []
-    if whole := best_of(block):
-        found.append(whole)
-    # a short notice in a long block saves little there: the neighbourhood of each cue that is not covered yet
-    for m in CUE.finditer(block):
-        if any(c[0] <= m.start() < c[1] for _, _, c in found):
+    cues = [(m.start(), m.end()) for m in CUE.finditer(block)]
+    todo = [(0, len(block))]
+    while todo:
+        lo, hi = todo.pop()
+        inside = [(s, e) for s, e in cues if lo <= s < hi]
+        if not inside or not possible(block[lo:hi]):
             continue
-        for width in (NEAR, BLOCK):
-            a = max([0, m.start() - width, *(c[1] for _, _, c in found if c[1] <= m.start())])
-            b = min([len(block), m.end() + width, *(c[0] for _, _, c in found if c[0] >= m.end())])
-            if near := best_of(block[a:b]):
-                saved, i, (s, e, missing, added) = near
+        # a short notice in a long block saves little there: then the neighbourhoods of its cues
+        parts = [(lo, hi), *((max(lo, s - width), min(hi, e + width)) for s, e in inside for width in (NEAR, BLOCK))]
+        for a, b in parts:
+            if match := best_of(block[a:b]):
+                saved, i, (s, e, missing, added) = match
                 found.append((saved, i, (s + a, e + a, missing, added)))
+                todo += [(lo, s + a), (e + a, hi)]
                 break
     return found
 

@@ -297,6 +297,17 @@ def test_op8_published_layout():
     assert [(r[2], r[7]) for r in license_scan.scan(long)] == [("MIT", True)] * 2
 
 
+def test_op8_several_texts_in_a_block():
+    text = lambda name: next(t for n, f, t in license_scan.TEMPLATES if (n, f) == (name, "text"))
+    for names in (["MIT", "BSD-3-Clause"], ["MIT", "GPL-3.0"], ["MIT", "MIT"], ["BSD-2-Clause", "MIT", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "ISC"], ["GPL-3.0", "GPL-2.0", "GPL-3.0"], ["CC0-1.0"] * 4):
+        for sep in (" ", "\n\n"):
+            got = license_scan.scan("prose " + sep.join(map(text, names)) + " prose")
+            assert [(r[2], r[7]) for r in got] == [(n, True) for n in names], (names, got)
+    words = text("MIT").split(" ")
+    edited = [" ".join(words[:k] + ["other"] + words[k + 1 :]) for k in (47, 20)]
+    assert [(r[2], r[5]) for r in license_scan.scan(" ".join(edited))] == [("MIT", 1)] * 2
+
+
 def test_op10_against_library(spark, sf):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
