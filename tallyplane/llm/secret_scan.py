@@ -5,7 +5,8 @@ reported by themselves. Weak candidates (a short password, a bare high-entropy s
 id, a host) are common in clean text, so each is reported only if a complementary part stands
 near it in the same scope: candidate intervals, widened by WINDOW code points, are joined with
 the intervals of the other kinds by bisection in start order, so that a text with many candidates
-costs n log n and no list of pairs is made.
+costs n log n and no list of pairs is made. A value has no greatest length: its span, and the distance to its
+complement, end and begin where the value does.
 
 Null and empty texts have no spans. Positions are code points, ends exclusive. A repeated row gives
 a repeated result. Columns of the input other than the key and the text are not touched.
@@ -40,9 +41,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-WEAK_ACCESS = re.compile(r"(?<![A-Za-z0-9_])(?:(?:ASIA|AGPA|AIDA|AROA)[A-Z0-9]{12,20}|(?:access_key(?:_id)?|client_id|account_id)[\"']?[ ]?[:=][ ]?[\"']?[A-Za-z0-9._-]{4,64})", re.A)
-WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9_])(?:(?:pwd|pass|secret_?access_?key|client_?secret|private_?key)[\"']?[ ]?[:=][ ]?[\"']?[A-Za-z0-9+/_.=-]{4,128})", re.I | re.A)
-LONG_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/_=-])", re.A)
+WEAK_ACCESS = re.compile(r"(?<![A-Za-z0-9_])(?:(?:ASIA|AGPA|AIDA|AROA)[A-Z0-9]{12,}+|(?:access_key(?:_id)?|client_id|account_id)[\"']?[ ]?[:=][ ]?[\"']?([A-Za-z0-9._-]{4,}+))", re.A)
+WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9_])(?:(?:pwd|pass|secret_?access_?key|client_?secret|private_?key)[\"']?[ ]?[:=][ ]?[\"']?([A-Za-z0-9+/_.=-]{4,}+))", re.I | re.A)
+LONG_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}+={0,2}(?![A-Za-z0-9+/_=-])", re.A)
 ENDPOINT = re.compile(r"(?:https?|ftp|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9.-]{3,253}(?::[0-9]{1,5})?(?:/[A-Za-z0-9._~/-]{0,200})?|(?<![A-Za-z0-9_])(?:host|endpoint|server)[\"']?[ ]?[:=][ ]?[\"']?[A-Za-z0-9.-]{4,253}", re.A)
 HINTS = re.compile(r"AKIA|://|host|endpoint|server|pwd|pass|[Ss]ecret|SECRET|[Pp]rivate|PRIVATE|[Tt]oken|TOKEN|_id|access_key|ASIA|AGPA|AIDA|AROA|[A-Za-z0-9+/_-]{32}")
 
@@ -93,23 +94,36 @@ class _Intervals:
 def linked_spans(text: str, base: list[Span], window: int = WINDOW) -> list[Span]:
     if not HINTS.search(text):
         return []
-    weak_access = [("weak_access", m.start(), m.end()) for m in WEAK_ACCESS.finditer(text)]
-    weak_secret = [("weak_secret", m.start(), m.end()) for m in WEAK_SECRET.finditer(text)]
+    # base spans that overlap or touch, as one
+    taken: list[list[int]] = []
+    for s, e in sorted((s, e) for _, s, e in base):
+        if taken and s <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+    starts = [s for s, _ in taken]
+
+    def reached(at: int) -> int:
+        """Where the base spans end that hold the character at this place, or the place itself."""
+        i = bisect.bisect_right(starts, at)
+        return max(at, taken[i - 1][1]) if i else at
+
+    # a value that base spans cover whole is theirs; one that goes on beyond them is not
+    weak_access = [("weak_access", m.start(), m.end()) for m in WEAK_ACCESS.finditer(text) if reached(m.start(1) if m[1] else m.start()) < m.end()]
+    weak_secret = [("weak_secret", m.start(), m.end()) for m in WEAK_SECRET.finditer(text) if reached(m.start(1)) < m.end()]
     for m in LONG_TOKEN.finditer(text):
         s = m.group()
-        if any(c.isdigit() for c in s) and any(c.isupper() for c in s) and any(c.islower() for c in s) and entropy(s) >= MIN_ENTROPY:
+        if reached(m.start()) < m.end() and any(c.isdigit() for c in s) and any(c.isupper() for c in s) and any(c.islower() for c in s) and entropy(s) >= MIN_ENTROPY:
             weak_secret.append(("weak_secret", m.start(), m.end()))
     endpoint = [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)]
     if not (weak_access or weak_secret or endpoint):
         return []
-    taken = sorted((s, e) for _, s, e in base)
-    starts = [s for s, _ in taken]
 
     def free(x: Span) -> bool:
         i = bisect.bisect_left(starts, x[2])
-        return not (i and any(e > x[1] for _, e in taken[max(0, i - 3) : i]))
+        return not (i and taken[i - 1][1] > x[1])
 
-    weak_access, weak_secret, endpoint = ([x for x in xs if free(x)] for xs in (weak_access, weak_secret, endpoint))
+    endpoint = [x for x in endpoint if free(x)]
     ends = [m.end() for m in SCOPE_END.finditer(text)]
     access = _Intervals([x for x in base if x[0] == "access"] + weak_access, ends)
     secret = _Intervals([x for x in base if x[0] != "access"] + weak_secret, ends)

@@ -153,6 +153,24 @@ def test_op3_links_only_complements():
     assert secret_scan.redacted("a password=0123456789abcdef b") == "a [ASSIGN] b"
 
 
+def test_op3_long_values():
+    """A value of any length is one span to its end, and parts behind it are near."""
+    rng = random.Random(3)
+    key = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz0123456789+") for _ in range(n))
+    for label in ("private_key=", "pwd: ", "secret_access_key="):
+        for n in (20, 129, 320, 50_000):
+            t = f"host=db.example.org {label}{key(n)} end"
+            assert ("weak_secret", 20, len(t) - 4) in secret_scan.find_secrets(t)[1], (label, n)
+            assert secret_scan.redacted(t) == "host=db.example.org [WEAK_SECRET] end"
+    token = key(200)
+    assert secret_scan.redacted(f"AKIA{'A1' * 8} {token} x") == "[ACCESS] [WEAK_SECRET] x"
+    t = "pwd=hunter22 client_id=" + "a1-" * 50 + " x"
+    assert secret_scan.redacted(t) == "[WEAK_SECRET] [WEAK_ACCESS] x"
+    assert secret_scan.redacted("private_key=" + key(320) + " client_id=abc12345") == "[WEAK_SECRET] [WEAK_ACCESS]"
+    t = "host=db.example.org private_key=" + key(200) + "0123456789abcdef" + key(100) + " x"  # a base span inside
+    assert secret_scan.redacted(t).endswith("[WEAK_SECRET] x")
+
+
 def test_op3_query(spark, sf):
     got = {x["doc_id"]: x for x in secret_scan.op3_secret_scans(spark, sf).collect()}
     for x in spark.read.parquet(f"{sf}/documents.parquet").collect():
