@@ -7,9 +7,11 @@ beside the benchmark's: along one alignment (difference of the two positions) ea
 and the same value, as in a question whose parameters were changed consistently; alignments that break this are
 dropped. A document is contaminated by an item if the windows left cover SHARE of the item's.
 
-Windows with fewer than LITERAL words that are no placeholders say nothing and are left out. An item with fewer
-words than WINDOW is matched by the one window of all its words, if that is telling. Null and empty texts match nothing; a
-repeated document or item gives one row a distinct pair of keys.
+Windows with fewer than LITERAL words that are no placeholders say little by their template: they match where the
+values are equal too, and count beside the others; a pair is found if SHARE of all the item's windows is covered, or
+SHARE of its telling ones. An item with fewer words than WINDOW has one window of all its words; documents have windows
+of each such length that the benchmark has. Null and empty texts match nothing; a repeated document or item gives one
+row a distinct pair of keys.
 
 The benchmark is broadcast if it has at most BROADCAST_ROWS windows, otherwise windows meet by a shuffle.
 """
@@ -46,38 +48,52 @@ def template_words(raw: Column) -> Column:
     return F.regexp_replace(t, f"({NUM} )({'|'.join(UNITS)})( |$)", "$1" + UNIT + "$3")
 
 
-def _windows(table: DataFrame, key: str, text: str, prefix: str) -> DataFrame:
-    """key, raw, words and pos (0-based) of every window; shorter texts have one window."""
+def _windows(table: DataFrame, key: str, text: str, prefix: str, short: tuple[int, ...] = ()) -> DataFrame:
+    """key, raw, words, pos (0-based) and len of every window: of WINDOW words, a shorter text as a whole; with short lengths, of each of these too."""
     raw = table.select(F.col(key).alias(prefix + "key"), raw_words(F.col(text).cast("string")).alias(prefix + "raw")).where(F.col(prefix + "raw") != "")
     words = raw.withColumn(prefix + "words", F.split(template_words(F.col(prefix + "raw")), " "))
-    return words.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.size(prefix + "words") - WINDOW, F.lit(0)))).alias(prefix + "pos"))
+    n = F.size(prefix + "words")
+    if not short:
+        return words.select("*", F.explode(F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0)))).alias(prefix + "pos"), F.lit(WINDOW).alias(prefix + "len"))
+    lengths = F.filter(F.array(*[F.lit(k) for k in (*short, WINDOW)]), lambda k: k <= n)
+    places = F.flatten(F.transform(lengths, lambda k: F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(i.alias("pos"), k.alias("len")))))
+    return words.select("*", F.explode(places).alias("_at")).select("*", F.col("_at.pos").alias(prefix + "pos"), F.col("_at.len").alias(prefix + "len")).drop("_at")
 
 
 def _slots(prefix: str) -> Column:
     """The raw words that stand at the placeholders of the window."""
-    p, words = prefix, F.slice(f"{prefix}words", F.col(f"{prefix}pos") + 1, WINDOW)
-    raw = F.slice(F.split(f"{p}raw", " "), F.col(f"{p}pos") + 1, WINDOW)
+    p, words = prefix, F.slice(f"{prefix}words", F.col(f"{prefix}pos") + 1, F.col(f"{prefix}len"))
+    raw = F.slice(F.split(f"{p}raw", " "), F.col(f"{p}pos") + 1, F.col(f"{p}len"))
     return F.transform(F.filter(F.arrays_zip(words.alias("t"), raw.alias("r")), lambda x: x["t"].isin(NUM, NAME, UNIT)), lambda x: F.lower(x["r"]))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """key, item, n_windows (of the item, covered) and n_item (of the item, telling) for every contaminated pair."""
-    at = lambda p: F.slice(f"{p}words", F.col(f"{p}pos") + 1, WINDOW)
-    b = _windows(benchmark, item, item_text, "b_").withColumn("b_window", at("b_"))
-    telling = F.size(F.filter("b_window", lambda w: ~w.isin(NUM, NAME, UNIT))) >= F.least(F.lit(LITERAL), F.size("b_window"))
-    b = b.where(telling & F.col("b_key").isNotNull()).select("b_key", "b_pos", "b_window", _slots("b_").alias("b_slots"), F.xxhash64("b_window").alias("b_hash")).distinct()
-    sizes = b.groupBy("b_key").agg(F.countDistinct("b_pos").alias("n_item"))
-    d = _windows(docs.where(F.col(key).isNotNull()), key, text, "d_")
+    """key, item, n_windows (of the item, covered) and n_item (of the item) for every contaminated pair."""
+    at = lambda p: F.slice(f"{p}words", F.col(f"{p}pos") + 1, F.col(f"{p}len"))
+    telling = lambda w: F.size(F.filter(w, lambda x: ~x.isin(NUM, NAME, UNIT))) >= F.least(F.lit(LITERAL), F.size(w))
+    b = _windows(benchmark, item, item_text, "b_").where(F.col("b_key").isNotNull()).withColumn("b_window", at("b_"))
+    b = b.select("b_key", "b_pos", "b_window", _slots("b_").alias("b_slots"), telling("b_window").alias("b_telling"))
+    b = b.withColumn("b_hash", F.when(F.col("b_telling"), F.xxhash64("b_window")).otherwise(F.xxhash64("b_window", "b_slots"))).distinct()
+    # what the documents need beside telling windows of WINDOW words: a few lengths and a flag
+    need = b.agg(F.collect_set(F.when(F.size("b_window") < WINDOW, F.size("b_window"))).alias("short"), F.max(~F.col("b_telling")).alias("dense")).first()
+    sizes = b.groupBy("b_key").agg(F.countDistinct("b_pos").alias("n_item"), F.countDistinct(F.when(F.col("b_telling"), F.col("b_pos"))).alias("n_telling"))
+    d = _windows(docs.where(F.col(key).isNotNull()), key, text, "d_", tuple(sorted(need["short"])))
     side = F.broadcast(b) if small_enough(b, BROADCAST_ROWS) else b
-    hits = d.withColumn("d_hash", F.xxhash64(at("d_"))).join(side, (F.col("d_hash") == F.col("b_hash")) & (at("d_") == F.col("b_window")))
-    slots = F.when(F.size("b_slots") > 0, F.arrays_zip(F.col("b_slots").alias("b"), _slots("d_").alias("d")))
-    hits = staged(hits.select("d_key", "b_key", "b_pos", (F.col("d_pos") - F.col("b_pos")).alias("line"), slots.alias("slots")), "hits")
+    own, same = F.xxhash64(at("d_")), (F.col("d_hash") == F.col("b_hash")) & (at("d_") == F.col("b_window"))
+    if need["dense"]:
+        own = F.when(telling(at("d_")), own).otherwise(F.xxhash64(at("d_"), _slots("d_")))
+        same = same & (F.col("b_telling") | (_slots("d_") == F.col("b_slots")))
+    hits = d.withColumn("d_hash", own).join(side, same)
+    slots = F.when(F.col("b_telling") & (F.size("b_slots") > 0), F.arrays_zip(F.col("b_slots").alias("b"), _slots("d_").alias("d")))
+    hits = staged(hits.select("d_key", "b_key", "b_pos", "b_telling", (F.col("d_pos") - F.col("b_pos")).alias("line"), slots.alias("slots")), "hits")
     # along one alignment each value of the benchmark stands for one value of the document
     told = hits.where(F.col("slots").isNotNull()).select("d_key", "b_key", "line", F.explode("slots").alias("s")).groupBy("d_key", "b_key", "line", F.col("s.b").alias("value")).agg((F.min(F.xxhash64("s.d")) != F.max(F.xxhash64("s.d"))).alias("broken"))
-    broken = told.where("broken").select("d_key", "b_key", "line").distinct()
-    sound = hits.select("d_key", "b_key", "b_pos", "line").join(broken, ["d_key", "b_key", "line"], "left_anti")
-    covered = sound.groupBy("d_key", "b_key", "b_pos").agg(F.lit(1).alias("one")).groupBy("d_key", "b_key").agg(F.sum("one").alias("n_windows"))
-    found = covered.join(sizes, "b_key").where((F.col("n_windows") * 100 >= F.col("n_item") * SHARE) & (F.col("n_windows") >= F.least(F.lit(LEAST), F.col("n_item"))))
+    broken = told.where("broken").select("d_key", "b_key", "line", F.lit(True).alias("b_telling")).distinct()
+    # windows with equal values contradict nothing
+    sound = hits.select("d_key", "b_key", "b_pos", "line", "b_telling").join(broken, ["d_key", "b_key", "line", "b_telling"], "left_anti")
+    covered = sound.groupBy("d_key", "b_key", "b_pos").agg(F.max(F.col("b_telling").cast("int")).alias("one")).groupBy("d_key", "b_key").agg(F.count("*").alias("n_windows"), F.sum("one").alias("n_told"))
+    enough = lambda n, of: (F.col(n) * 100 >= F.col(of) * SHARE) & (F.col(n) >= F.least(F.lit(LEAST), F.col(of))) & (F.col(n) > 0)
+    found = covered.join(sizes, "b_key").where(enough("n_windows", "n_item") | enough("n_told", "n_telling"))
     return found.select(F.col("d_key").alias(key), F.col("b_key").alias(item), "n_windows", "n_item")
 
 

@@ -240,6 +240,15 @@ def test_op5_inconsistent_slots(spark):
     assert [r["doc_id"] for r in decontaminate.contaminated(docs_of(spark, [good, bad]), bench).collect()] == [0]
 
 
+def test_op5_short_and_dense_items(spark):
+    """Items shorter than a window, and items of little but numbers, names and units, are found in longer documents."""
+    items = ["Name the largest known moon", "What is 12 plus 7 times 30 minus 4 divided by 2", "3 14 15 92 65 35 89 79", "why so", "Order 12 km 30 kg 7 miles 4 lbs"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"Some prose that goes on for a while. {t} and then the prose goes on." for t in items] + ["2 71 82 81 82 84 59 04 and 52 35 36 02 87", "Some prose that is known for the largest of moons. " * 3]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs_of(spark, texts), bench).collect()}
+    assert got == {(i, i) for i in range(5)}
+
+
 def test_op5_verbatim(spark, sf):
     docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet").collect() for t in ("documents", "benchmark"))
     want = {d["doc_id"] for d in docs for b in bench if b["text"] in (d["text"] or "")}
