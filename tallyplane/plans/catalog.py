@@ -379,15 +379,15 @@ def supplied_spread(spark, d):
 
 @query()
 def least_cost_matching(spark, d):
-    """Ticks of two sizes of readings of a brand, matched within 2."""
+    """Ticks of two sizes of readings of a brand, every part on one of the sides, matched within 2."""
     p = t(spark, d, "part").select("p_brand", F.col("p_size").cast("double").alias("x"), "p_partkey")
-    return M.match(p.where("p_partkey % 5 = 0").select("p_brand", F.col("x").alias("a")), p.where("p_partkey % 5 = 1").select("p_brand", F.col("x").alias("b")), "p_brand", "a", "b", 2.0)
+    return M.match(p.where("p_partkey % 2 = 0").select("p_brand", F.col("x").alias("a")), p.where("p_partkey % 2 = 1").select("p_brand", F.col("x").alias("b")), "p_brand", "a", "b", 2.0)
 
 
 @query()
 def greedy_assignment(spark, d):
     """Suppliers stand for captions, parts for regions, of a page of a hundred orders."""
-    s = t(spark, d, "lineitem").where("l_linenumber <= 3").groupBy((F.col("l_orderkey") / 100).cast("long").alias("page"), "l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("score"))
+    s = t(spark, d, "lineitem").groupBy((F.col("l_orderkey") / 100).cast("long").alias("page"), "l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("score"))
     return M.assign_greedily(s, "page", "l_suppkey", "l_partkey", "score", 0.5)
 
 

@@ -42,3 +42,13 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_matching_queries_take_every_row(spark, sf, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(catalog.M, "match", lambda left, right, *a: seen.update(parts=left.count() + right.count()))
+    monkeypatch.setattr(catalog.M, "assign_greedily", lambda scores, by, c, r, score, m: seen.update(quantity=scores.agg({score: "sum"}).first()[0]))
+    catalog.queries()["least_cost_matching"](spark, sf)
+    catalog.queries()["greedy_assignment"](spark, sf)
+    assert seen["parts"] == spark.read.parquet(f"{sf}/part.parquet").count()
+    assert round(seen["quantity"], 3) == round(spark.read.parquet(f"{sf}/lineitem.parquet").agg({"l_quantity": "sum"}).first()[0], 3)
