@@ -71,7 +71,7 @@ class WordModel:
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean over the characters, so that a long unseen word weighs no more than a known one."""
-        w, total = f"^{word[:64]}$", self.floor
+        w, total = f"^{word}$", self.floor
         for end in range(2, len(w) + 1):
             for n in range(min(LONGEST, end), 0, -1):
                 s = self.grams.get(w[end - n : end])
@@ -134,7 +134,7 @@ def fit_language(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
         seen: dict[str, Counter] = {}
         for b in batches:
             for t, x in zip(b.column(0), b.column(1), strict=True):
-                seen.setdefault(x.as_py(), Counter()).update(w for w in words_of(t.as_py()) if len(w) <= 64)
+                seen.setdefault(x.as_py(), Counter()).update(words_of(t.as_py()))
         rows = [(x, w, c) for x, s in seen.items() for w, c in s.items()]
         for i in range(0, len(rows), 100_000):
             a, b_, c = zip(*rows[i : i + 100_000], strict=True)

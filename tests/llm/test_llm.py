@@ -293,6 +293,17 @@ def test_op7_odd_inputs(spark):
     assert language.fit_language(docs.limit(0)).langs == []
 
 
+def test_op7_long_runs_are_scored_whole():
+    m = language.WordModel({"aa": {"abab": 5, "baba": 5}, "zz": {"zyzy": 5, "yzyz": 5}})
+    assert language.Predictor(m).predict("ab" * 40 + "zy" * 400)[0] == "zz"
+
+
+def test_op7_long_runs_are_fitted(spark):
+    rows = [(i, x * 40, lang) for i in range(40) for x, lang in (("ab", "aa"), ("zy", "zz"))]
+    m = language.fit_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {"ab" * 40, "zy" * 40} <= set(m.words)
+
+
 # --- op8, op10
 
 
