@@ -63,10 +63,10 @@ def disagreements(first: DataFrame, second: DataFrame, key: str, decision: str)
     return a.join(b, key).where(~F.col("first").eqNullSafe(F.col("second")))
 
 
-def cross_check(items: DataFrame, cards: DataFrame, max_rounds: int = 100) -> DataFrame:
+def cross_check(items: DataFrame, cards: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """(item, to, code): AUTO only if the second look agrees, with confidence and evidence, and no card is shared with an item that goes to a person.
 
-    items: item, person_only, proposal, options, choice, confidence, evidence, text, v_text. cards: item, card. Sharing spreads until nothing moves; each round is a join over the cards.
+    items: item, person_only, proposal, options, choice, confidence, evidence, text, v_text. cards: item, card. Sharing spreads until nothing moves; each round is a join over the cards. With max_rounds, it is an error if something still moves after them.
     """
     norm = lambda c: F.lower(F.regexp_replace(F.trim(F.coalesce(F.col(c), F.lit(""))), r"\s+", " "))
     choice = F.upper(F.trim("choice"))
@@ -81,12 +81,16 @@ def cross_check(items: DataFrame, cards: DataFrame, max_rounds: int = 100) -> Da
         .when(norm("text") != norm("v_text"), "TEXT_DIFFERS")
     )
     state = items.select("item", code.alias("code"))
-    for _ in range(max_rounds):
+    rounds = 0
+    while True:
         held = cards.join(state.where("code is not null"), "item").select("card").distinct()
         hit = cards.join(held, "card", "left_semi").select("item").distinct()
         moved = state.where("code is null").join(hit, "item", "left_semi").select("item")
         if not moved.limit(1).count():
             break
+        if max_rounds is not None and rounds >= max_rounds:
+            raise RuntimeError(f"sharing still spreads after {max_rounds} rounds")
+        rounds += 1
         state = state.join(moved.withColumn("_m", F.lit("SHARED_CARD")), "item", "left").select("item", F.coalesce("code", "_m").alias("code")).checkpoint()
     return state.select("item", F.when(F.col("code").isNull(), "AUTO").otherwise("PERSON").alias("to"), F.coalesce("code", F.lit("AGREE")).alias("code"))
 

@@ -110,3 +110,13 @@ def test_resume(spark, tmp_path):
     sink(rows([2, 3]), 1)
     sink(rows([2, 3]), 1)
     assert sorted(r["id"] for r in spark.read.parquet(ledger).collect()) == [1, 2, 3]
+
+
+def test_cross_check_spreads_to_the_end_or_fails(spark):
+    rows = [(str(i), i == 0, "A", ["A"], "A", "HIGH", "e", "t", "t") for i in range(4)]
+    df = spark.createDataFrame(rows, "item string, person_only boolean, proposal string, options array<string>, choice string, confidence string, evidence string, text string, v_text string")
+    cards = spark.createDataFrame([(str(i), c) for i in range(4) for c in (i, i + 1)], "item string, card int")
+    assert {r["to"] for r in V.cross_check(df, cards).collect()} == {"PERSON"}
+    assert {r["to"] for r in V.cross_check(df, cards, max_rounds=3).collect()} == {"PERSON"}
+    with pytest.raises(RuntimeError):
+        V.cross_check(df, cards, max_rounds=2)
