@@ -35,11 +35,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where the session names none (tests on one machine) a local one is set.
+    Only where the session names none and runs on one machine (tests) a local one is set; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext.getCheckpointDir()
+        if not known and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = known or "/tmp/checkpoints/tallyplane"
         if not known:
             spark.sparkContext.setCheckpointDir(folder)
@@ -57,6 +59,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/stage-" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_enough(df: DataFrame, rows: int) -> bool:
     """True if df has at most so many rows; reads no more than that and one."""
     return df.limit(rows + 1).count() <= rows
@@ -122,6 +134,48 @@ def map_texts(
     return src.mapInArrow(run, out)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores in front until df has no such column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name
+
+
+def append_columns(df: DataFrame, text: str, make: Callable[[], Callable[[str | None], tuple]], schema: str, replace: bool = False) -> DataFrame:
+    """df with the columns of schema appended, whose names must be free: the tuple that make()(text) gives.
+
+    With replace, the tuple's first value takes the text's place. All columns travel with the row through one
+    mapInArrow, so that batches are bounded and a worker's memory is given back, which a plain function column does not do.
+    """
+    src = df.withColumn(text, F.col(f"`{text}`").cast("string"))
+    at = src.columns.index(text)
+    more = df.sparkSession.createDataFrame([], schema).schema
+    out = type(src.schema)([*src.schema.fields, *more.fields])
+    arrow = arrow_schema(out)
+    first = int(replace)
+
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = make()
+        for batch in batches:
+            lo, size, rows = 0, 0, []
+            texts = batch.column(at)
+            for i in range(batch.num_rows):
+                t = texts[i].as_py()
+                rows.append(each(t))
+                size += len(t) if t else 0
+                if size >= FLUSH_CHARS or i + 1 == batch.num_rows:
+                    made = list(zip(*rows, strict=True))
+                    cols = [batch.column(k).slice(lo, len(rows)).cast(arrow.field(k).type) for k in range(batch.num_columns)]
+                    if replace:
+                        cols[at] = pa.array(made[0], type=arrow.field(at).type)
+                    cols += [pa.array(c, type=arrow.field(len(cols) + k).type) for k, c in enumerate(made[first:])]
+                    yield pa.RecordBatch.from_arrays(cols, schema=arrow)
+                    lo, size, rows = i + 1, 0, []
+
+    return src.mapInArrow(run, out)
+
+
 def _pack(batch: pa.RecordBatch, at: int, rows: list[tuple], n_keep: int, schema: pa.Schema) -> pa.RecordBatch:
     kept = [batch.column(k).slice(at, len(rows)).cast(schema.field(k).type) for k in range(n_keep)]
     made = [pa.array(c, type=schema.field(n_keep + k).type) for k, c in enumerate(zip(*rows, strict=True))]

@@ -9,7 +9,7 @@ costs n log n and no list of pairs is made. A value has no greatest length: its
 complement, end and begin where the value does.
 
 Null and empty texts have no spans. Positions are code points, ends exclusive. A repeated row gives
-a repeated result. Columns of the input other than the key and the text are not touched.
+a repeated result, an empty table an empty one. Columns of the input other than the key and the text are not touched.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_texts, read_table
+from .common import append_columns, free_name, map_texts, read_table
 
 #: Base kinds in the order in which they are listed.
 BASE_KINDS = ("assign", "access", "hex")
@@ -175,9 +175,19 @@ def redacted(text: str | None) -> str | None:
     return "".join(out) + text[at:]
 
 
-def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with secrets of the text replaced; the other columns, whatever they are named, stay."""
-    return docs.withColumn(text, F.udf(redacted, "string", useArrow=True)(F.col(text)))
+def redact_secrets(docs: DataFrame, text: str = "text", changed: str | None = None) -> DataFrame:
+    """docs with secrets of the text replaced; the other columns, whatever they are named, stay. changed names a column that says whether the text did."""
+    mark = changed or free_name(docs, "_changed")
+
+    def make():
+        def each(t):
+            new = redacted(t)
+            return new, new != t
+
+        return each
+
+    out = append_columns(docs, text, make, f"`{mark}` boolean", replace=True)
+    return out if changed else out.drop(mark)
 
 
 def joined_sql(spans) -> Column:

@@ -10,19 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate as template, ngram_join, quality as rules, secret_scan
-from .common import read_table, small_batches, staged, with_size_check
+from .common import append_columns, discard, free_name, read_table, small_batches, staged, with_size_check
 
 #: Keys that may be broadcast; beyond, an anti join shuffles.
 KEYS = 1_000_000
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """name, with underscores in front until df has no such column."""
-    while name.lower() in {c.lower() for c in df.columns}:
-        name = "_" + name
-    return name
-
-
 def row_key(doc: str = "doc_id", text: str = "text") -> Column:
     return F.struct(F.col(doc).isNull().alias("no"), F.col(doc).alias("doc"), F.xxhash64(F.col(text)).alias("hash"))
 
@@ -38,11 +31,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold. The rules are fitted on the labelled rows of docs."""
     small_batches(spark)
     model = rules.fit_quality(docs, read_table(spark, sf_dir, "labels"))
-    s = free_name(docs, "_stats")
     names = [free_name(docs, f"_{x}") for x in rules.STATS]
-    stats = F.udf(rules.stats, "struct<" + ",".join(f"{x}:double" for x in rules.STATS) + ">", useArrow=True)
-    wide = docs.withColumn(s, stats(F.col("text")))
-    wide = wide.withColumns({n: F.col(s)[x] for n, x in zip(names, rules.STATS, strict=True)})
+    wide = append_columns(docs, "text", lambda: rules.stats, ", ".join(f"`{n}` double" for n in names))
     return wide.where(model.column(names) >= rules.THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -71,11 +61,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, secrets replaced by their kinds; n_chars follows where the text changed."""
     small_batches(spark)
-    old = free_name(docs, "_old")
-    out = secret_scan.redact_secrets(docs.withColumn(old, F.col("text")))
+    changed = free_name(docs, "_changed")
+    out = secret_scan.redact_secrets(docs, changed=changed)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("text").eqNullSafe(F.col(old)), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+        out = out.withColumn("n_chars", F.when(F.col(changed), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
