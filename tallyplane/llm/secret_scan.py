@@ -44,7 +44,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 WEAK_ACCESS = re.compile(r"(?<![A-Za-z0-9_])(?:(?:ASIA|AGPA|AIDA|AROA)[A-Z0-9]{12,}+|(?:access_key(?:_id)?|client_id|account_id)[\"']?[ ]?[:=][ ]?[\"']?([A-Za-z0-9._-]{4,}+))", re.A)
 WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9_])(?:(?:pwd|pass|secret_?access_?key|client_?secret|private_?key)[\"']?[ ]?[:=][ ]?[\"']?([A-Za-z0-9+/_.=-]{4,}+))", re.I | re.A)
 LONG_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}+={0,2}(?![A-Za-z0-9+/_=-])", re.A)
-ENDPOINT = re.compile(r"(?:https?|ftp|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9.-]{3,253}(?::[0-9]{1,5})?(?:/[A-Za-z0-9._~/-]{0,200})?|(?<![A-Za-z0-9_])(?:host|endpoint|server)[\"']?[ ]?[:=][ ]?[\"']?[A-Za-z0-9.-]{4,253}", re.A)
+ENDPOINT = re.compile(r"(?:https?|ftp|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9.-]{3,}+(?::[0-9]{1,5})?(?:/[A-Za-z0-9._~/-]*+)?|(?<![A-Za-z0-9_])(?:host|endpoint|server)[\"']?[ ]?[:=][ ]?[\"']?[A-Za-z0-9.-]{4,}+", re.A)
 HINTS = re.compile(r"AKIA|://|host|endpoint|server|pwd|pass|[Ss]ecret|SECRET|[Pp]rivate|PRIVATE|[Tt]oken|TOKEN|_id|access_key|ASIA|AGPA|AIDA|AROA|[A-Za-z0-9+/_-]{32}")
 
 Span = tuple[str, int, int]

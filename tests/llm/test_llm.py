@@ -512,3 +512,27 @@ def test_encode_and_decode_apart(spark):
 def test_registry():
     assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 11)]
     assert set(registry.oracle_sql()) <= set(registry.queries())
+
+
+def test_op3_long_endpoints():
+    """Hosts and paths end where they end."""
+    for url in ("https://" + "a1." * 300 + "example.org/" + "x/" * 400, "https://h.example:8080/" + "zq" * 5000):
+        t = f"pwd: hunter22 client_id=abc12345 {url} end"
+        assert ("endpoint", t.index("https"), len(t) - 4) in secret_scan.find_secrets(t)[1]
+
+
+def test_op3_many_base_spans_in_a_value():
+    """A weak value that base spans cover is theirs, however many there are."""
+    t = "client_id=abc12345 token=" + "-".join(["0123456789abcdef"] * 7) + " x"
+    assert [k for k, _, _ in secret_scan.find_secrets(t)[1]] == ["weak_access"]
+
+
+@pytest.mark.parametrize("scan", [secret_scan.scan_secrets, pii.scan_pii])
+def test_scans_of_odd_rows(spark, scan):
+    """Null and empty texts have no spans, repeated rows repeat, an empty table is empty, clashing columns do not matter."""
+    hit = "mail a.b@c.de password=0123456789abcdef"
+    df = docs_of(spark, [None, "", hit, "x" * 300_000]).union(docs_of(spark, [hit], 2)).withColumn("base", F.lit(1)).withColumn("_text", F.lit("y"))
+    got = scan(df).collect()
+    assert sorted((r["doc_id"], len(r["base"])) for r in got)[:2] == [(0, 0), (1, 0)] and len(got) == 5
+    assert len({str(r["base"]) for r in got if r["doc_id"] == 2}) == 1 and all(r["base"] for r in got if r["doc_id"] == 2)
+    assert scan(df.limit(0)).count() == 0
