@@ -1,12 +1,15 @@
 """Exact top-k search by inner product over an impact-ordered, score-at-a-time index.
 
-Vectors are whole numbers. The rows of a block are indexed in tiers of falling quantised impact: the first tier
-holds each component's multiple of the coarsest step, the next the multiples of a finer step in what is left, and so
-on; a tier's posting segments (component, impact) stand as one matrix, so that a tier is added to the scores of a whole
-block of queries by one product. What is left of a row after a tier has a known norm, so its part of any
-score is at most that norm times the query's (Cauchy-Schwarz): after each tier, rows whose upper bound is below the
-k-th best lower bound are out. A query stops at a tier only on this proof, once few rows are left; those rows are scored
-exactly in whole numbers, and ties go to the smaller id. Nothing is approximate.
+Vectors are whole numbers. The index of a block of rows holds posting segments: a component, a quantised impact and a sign, and the
+rows whose component has that impact. Segments stand by falling impact. A batch of queries goes through them in that
+order: the segment's impact times the query's component is added to the score of each row in the segment, for all
+queries of the batch at once. What the segments passed so far leave of a row (components whose segment has not come, and what quantising
+cut off) has a known norm, so its part of any score is at most that norm times the query's (Cauchy-Schwarz). After each impact, rows whose
+upper bound is below the k-th best lower bound are out. A query stops only on this proof, once few rows are left;
+those rows are scored exactly in whole numbers, and ties go to the smaller id. Nothing is approximate.
+
+Memory. The scores of a batch take rows x batch x 8 bytes, and the batch is cut so that this stays below SCORE_BYTES; a block has at most
+``BLOCK_ROWS[1]`` rows, whatever the table's size.
 
 Scale. Rows are dealt to blocks by a hash of the id. Every block of queries meets every block of rows:
 packed blocks, not rows, are copied, and a salt spreads a query block's meetings over tasks. The k best
@@ -28,11 +31,13 @@ from pyspark.sql import functions as F
 from .common import read_table, tidied
 
 #: Rows of a block of rows and of a block of queries.
-BLOCK_ROWS, BLOCK_QUERIES = (2048, 65536), 4096
-#: Steps of the tiers, as shares of the block's largest component.
-TIERS = (1 / 4, 1 / 32)
+BLOCK_ROWS, BLOCK_QUERIES = (2048, 16384), 4096
+#: Impacts: multiples of a step that is this share of the block's largest component.
+IMPACTS = 8
 #: Rows left at which a query leaves the index.
 FEW = 64
+#: Scores of a batch of queries.
+SCORE_BYTES = 4 << 20
 BROADCAST_BYTES = 32 << 20
 SALT = 16
 
@@ -47,42 +52,64 @@ class Block:
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")  # ties then go to the smaller id
         self.ids, self.rows = ids[order], rows[order]
-        left, top = self.rows.copy(), int(np.abs(self.rows).max(initial=0))
-        self.tiers: list[tuple[np.ndarray, np.ndarray]] = []
-        for share in TIERS:
-            step = int(top * share)
-            if step < 2:
+        n, width = rows.shape
+        top = int(np.abs(self.rows).max(initial=0))
+        step = max(1, -(-top // IMPACTS))
+        level = (np.abs(self.rows) + step // 2) // step
+        #: By falling impact: the segments (component, signed impact, rows), and the norm of what is then left of each row.
+        self.segments: list[tuple[list[tuple[int, int, np.ndarray]], np.ndarray]] = []
+        left = (self.rows.astype(np.float64) ** 2).sum(axis=1)
+        for impact in range(int(level.max(initial=0)), 0, -1):
+            lists, at = [], level == impact
+            for c in np.flatnonzero(at.any(axis=0)):
+                here = np.flatnonzero(at[:, c])
+                x = self.rows[here, c]
+                for sign in (1, -1):
+                    if len(part := here[x * sign > 0]):
+                        lists.append((int(c), sign * impact * step, part))
+            value = np.where(at, self.rows, 0).astype(np.float64)
+            left = left - (value**2).sum(axis=1) + ((value - np.sign(value) * impact * step * at) ** 2).sum(axis=1)
+            self.segments.append((lists, np.sqrt(np.maximum(left, 0))))
+
+    def possible(self, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[np.ndarray]:
+        """For each query the rows that may be among its k best, by proof."""
+        n = len(self.ids)
+        alive: list[np.ndarray] = [np.arange(n)] * len(queries)
+        size = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9)
+        # the query's own rows may be among the best: look as many places further
+        own = np.searchsorted(self.ids, query_ids, "right") - np.searchsorted(self.ids, query_ids)
+        kth = min(n, k + int(own.max(initial=0)))
+        # the k-th best of the groups' best lower bounds: at least k rows reach it
+        groups = np.arange(0, n, max(1, n // max(64 * kth, 1)))
+        score, open_, maybe = np.zeros((n, len(queries)), np.int64), np.arange(len(queries)), None
+        for lists, norm in self.segments:
+            if not len(open_):
                 break
-            part = (left + step // 2) // step * step
-            left = left - part
-            self.tiers.append((part.astype(np.float64), np.sqrt((left.astype(np.float64) ** 2).sum(axis=1))))
-        self.top = top
+            q = queries[open_]
+            for c, impact, rows in lists:
+                score[rows] += impact * q[:, c]
+            slack = norm[:, None] * size[None, open_] + 1e-6
+            limit = np.partition(np.maximum.reduceat(score - slack, groups, axis=0), len(groups) - kth, axis=0)[len(groups) - kth]
+            slack += score
+            maybe = slack >= limit[None, :]
+            done = maybe.sum(axis=0) <= FEW
+            if done.any():
+                for j in np.flatnonzero(done):
+                    alive[open_[j]] = np.flatnonzero(maybe[:, j])
+                score, open_, maybe = score[:, ~done], open_[~done], maybe[:, ~done]
+        if maybe is not None:
+            for j, i in enumerate(open_):
+                alive[i] = np.flatnonzero(maybe[:, j])
+        return alive
 
     def search(self, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """(query's place, ids, scores) of the k best of the block, best first."""
-        n, width = self.rows.shape
-        exact_floats = width * max(self.top, 1) * max(int(np.abs(queries).max(initial=0)), 1) < 1 << 52
-        alive = [np.arange(n)] * len(queries)
-        if exact_floats and n > FEW:
-            q = queries.astype(np.float64)
-            size = np.sqrt((q**2).sum(axis=1)) * (1 + 1e-9)
-            score, open_ = np.zeros((len(queries), n)), np.arange(len(queries))
-            own = np.minimum(np.bincount(np.searchsorted(query_ids, self.ids[np.isin(self.ids, query_ids)]), minlength=len(queries)) if len(query_ids) else 0, n)
-            for part, norm in self.tiers:
-                if not len(open_):
-                    break
-                score[open_] += q[open_] @ part.T
-                slack = size[open_, None] * norm[None, :] + 1e-6
-                low = score[open_] - slack
-                # the query's own rows may be among the best: look as many places further
-                kth = min(n, k + int(own.max(initial=0)))
-                limit = np.partition(low, n - kth, axis=1)[:, n - kth]
-                maybe = score[open_] + slack >= limit[:, None]
-                counts = maybe.sum(axis=1)
-                for j, i in enumerate(open_):
-                    if counts[j] < len(alive[i]):
-                        alive[i] = np.flatnonzero(maybe[j])
-                open_ = open_[counts > FEW]
+        n = len(self.ids)
+        if n > FEW:
+            batch = max(1, SCORE_BYTES // (8 * n))
+            alive = [a for i in range(0, len(queries), batch) for a in self.possible(queries[i : i + batch], query_ids[i : i + batch], k)]
+        else:
+            alive = [np.arange(n)] * len(queries)
         out = []
         for i, rows in enumerate(alive):
             rows = rows[self.ids[rows] != query_ids[i]]
