@@ -18,16 +18,20 @@ looked at again, since no merge crosses it.
 The decoder keeps a UTF-8 state machine between tokens: bytes go in, text comes out as soon as a code
 point is complete, and each maximal invalid part becomes U+FFFD, as the library's does.
 
-Null texts encode and decode as empty ones.
+So what is held is bounded whatever a text's or a word's length; encode(), which returns all ids, feeds the same machine in
+chunks. Null texts encode and decode as empty ones, a repeated row gives a repeated result, an empty table an empty one; other
+columns stay.
 """
 
 from __future__ import annotations
 
 import codecs
 import functools
+import hashlib
 import heapq
 import itertools
 import json
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
@@ -38,7 +42,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FLUSH_CHARS, arrow_schema, read_table, tidied
+from .common import FLUSH_CHARS, arrow_schema, map_texts, read_table, tidied
 
 #: The words that merges do not cross (the file's byte-level splitter).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -63,6 +67,14 @@ def for_splitting(text: str) -> str:
         return text
     except UnicodeEncodeError:
         return NEWER.sub("\ue000", text)
+
+
+#: Kinds of characters of which a word consists, but for a space before them and for contractions.
+LETTERS, NUMBERS, SPACES, SYMBOLS = KINDS = tuple(regex.compile(x) for x in (r"\p{L}+", r"\p{N}+", r"\s+", r"[^\s\p{L}\p{N}]+"))
+#: White space (in the widest sense) that a space follows.
+SPACE_RUN = re.compile(r"\s ")
+#: Characters fed at a time, and characters held back without a boundary.
+CHUNK, HOLD = 1 << 16, 4096
 #: Characters that may follow a word and change it.
 WORD_LOOKAHEAD = 2
 #: A word that is longer goes through the windowed merge.
@@ -70,8 +82,9 @@ LONG_WORD = 64
 #: Bytes merged at once in a long word, besides the lookahead.
 WINDOW = 4096
 #: Words kept; beyond, a task starts anew.
-CACHE = 300_000
+CACHE = 500_000
 _RANK = 1 << 20
+_NONE, _ID, _HIGH = _RANK << 20, _RANK - 1, [b << 8 for b in range(256)]
 
 
 def byte_letters() -> dict[str, int]:
@@ -114,25 +127,26 @@ class Merges:
             far = len(self.token_bytes[a]) + max((best.get(t, 0) for t in spine[b]), default=0)
             best[a] = max(best.get(a, 0), far)
             self.lookahead = max(self.lookahead, far)
+        #: What pairs of bytes merge to, by first byte * 256 + second.
+        self.of_bytes = [self.pairs.get(a << 20 | b, _NONE) for a in self.of_byte for b in self.of_byte]
         self.special_split = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True)) + ")") if self.specials else None
 
     def merged(self, word: bytes) -> list[int]:
         """The tokens of a short word: the lowest rank first, leftmost first."""
-        ids = [self.of_byte[b] for b in word]
-        get = self.pairs.get
-        none = _RANK << 20
-        ranks = [get(a << 20 | b, none) for a, b in itertools.pairwise(ids)]
+        ids = list(map(self.of_byte.__getitem__, word))
+        get, none = self.pairs.get, _NONE
+        ranks = list(map(self.of_bytes.__getitem__, map(int.__add__, map(_HIGH.__getitem__, word), word[1:])))
         while ranks:
             low = min(ranks)
             if low == none:
                 break
             i = ranks.index(low)
-            ids[i : i + 2] = [low & (_RANK - 1)]
-            del ranks[i]
+            ids[i] = made = low & _ID
+            del ids[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = get(ids[i - 1] << 20 | ids[i], none)
+                ranks[i - 1] = get(ids[i - 1] << 20 | made, none)
             if i < len(ranks):
-                ranks[i] = get(ids[i] << 20 | ids[i + 1], none)
+                ranks[i] = get(made << 20 | ids[i + 1], none)
         return ids
 
     def merged_long(self, word: bytes) -> list[int]:
@@ -188,30 +202,103 @@ class WordStream:
         self.buffer.clear()
 
 
+class _Cache(dict):
+    """What make() gives by key, for short keys. When full, it becomes the old half, from which keys in use come back."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(key) <= LONG_WORD:
+            if len(self) >= CACHE // 2:
+                self.old = dict(self)
+                self.clear()
+            self[key] = out
+        return out
+
+
+class Splitter:
+    """Ids of ordinary text (no special tokens) that comes in pieces; holds at most about HOLD characters, whatever a word's length.
+
+    A space behind a character that is no white space always begins a word, so text before the last such space is
+    final. Text without one is split into words, of which those that end WORD_LOOKAHEAD characters before the end are final. A word longer
+    than HOLD becomes a run: its characters go to a WordStream until one of another kind comes (of white space, the last character may
+    belong to the next word and stays).
+    """
+
+    def __init__(self, encoder: Encoder):
+        self.e, self.hold, self.run = encoder, "", None
+
+    def feed(self, text: str) -> Iterator[np.ndarray]:
+        self.hold += text
+        while self.hold:
+            if self.run and not (yield from self._go_on()):
+                return
+            hold = self.hold
+            p = hold.rfind(" ")
+            while p > 0 and hold[p - 1].isspace():
+                p = hold.rfind(" ", 0, p)
+            if p > 0:
+                yield self.e.pieces(hold[:p])
+                hold = hold[p:]
+            if len(hold) > HOLD:
+                parts, end, limit = self.e.split(hold), len(hold), len(hold) - WORD_LOOKAHEAD
+                last = ""
+                while parts and end > limit:  # more text may change these
+                    last = parts.pop()
+                    end -= len(last)
+                if parts:
+                    yield self.e.segment(parts)
+                    hold = hold[end:]
+                if len(last) > HOLD:
+                    self.run = next(k for k in KINDS if k.match(for_splitting(last[1])))  # the first may be the space of a word
+                    self.word = WordStream(self.e.m)
+                    if self.run is not SPACES and self.run.match(for_splitting(last[0])) is None:
+                        yield self._ids(self.word.feed(last[0].encode()))
+                        hold = hold[1:]
+                    self.hold = hold
+                    continue
+            self.hold = hold
+            return
+
+    def _ids(self, ids: Iterable[int]) -> np.ndarray:
+        return np.fromiter(ids, np.int32)
+
+    def _go_on(self):
+        """Feeds the run; True if it has ended and more text follows."""
+        m = self.run.match(for_splitting(self.hold))
+        end = m.end() if m else 0
+        keep = int(self.run is SPACES)
+        over = end < len(self.hold)
+        if end > keep:
+            yield self._ids(self.word.feed(self.hold[: end - keep].encode()))
+            self.hold = self.hold[end - keep :]
+        if over:
+            yield self._ids(self.word.finish())
+            self.run = None
+        return over
+
+    def finish(self) -> Iterator[np.ndarray]:
+        if self.run:  # what is held is white space that nothing follows
+            yield self._ids(self.word.feed(self.hold.encode()))
+            yield self._ids(self.word.finish())
+        else:
+            yield self.e.pieces(self.hold)
+        self.hold, self.run = "", None
+
+
 class Encoder:
-    """encode() for whole texts with cached words; stream() for chunks."""
+    """encode() for whole texts, stream() for chunks; both run the same machine."""
 
     def __init__(self, merges: Merges):
-        outer = self
         self.m = merges
-
-        class Words(dict):
-            """Ids of words as packed int32. When full, it becomes the old half, from which words in use come back."""
-
-            old: dict[str, bytes] = {}
-
-            def __missing__(self, word: str) -> bytes:
-                out = self.old.get(word)
-                if out is None:
-                    out = array("i", outer.word(word)).tobytes()
-                if len(word) <= LONG_WORD:
-                    if len(self) >= CACHE // 2:
-                        self.old = dict(self)
-                        self.clear()
-                    self[word] = out
-                return out
-
-        self.words = Words()
+        self.words = _Cache(lambda w: array("i", self.word(w)).tobytes())
+        #: What stands between spaces, with the space before it.
+        self.spaced = _Cache(lambda p: b"".join([self.words[w] for w in self.split(" " + p)]))
 
     def word(self, word: str) -> list[int]:
         raw = word.encode()
@@ -228,38 +315,55 @@ class Encoder:
         words = self.words
         return np.frombuffer(b"".join([words[w] for w in parts]), np.int32)
 
+    def pieces(self, text: str) -> np.ndarray:
+        """Ids of a text that is split as a whole. Where no space follows white space, every space begins a word, and what is between spaces is looked up at once."""
+        if SPACE_RUN.search(text):
+            return self.segment(self.split(text))
+        first, *more = text.split(" ")
+        words = self.words
+        return np.frombuffer(b"".join([*[words[w] for w in self.split(first)], *map(self.spaced.__getitem__, more)]), np.int32)
+
     def encode(self, text: str | None) -> np.ndarray:
-        return np.concatenate(list(self.stream([text or ""])))
+        return np.concatenate([np.zeros(0, np.int32), *self.stream(chunks_of(text or ""))])
 
     def stream(self, chunks: Iterable[str]) -> Iterator[np.ndarray]:
-        """Ids of the chunks' concatenation, emitted once stable; what is held back between chunks is one unfinished word."""
-        hold, specials = "", self.m.special_split
-        ahead = max(WORD_LOOKAHEAD, *(len(s) for s in self.m.specials), 0)
+        """Ids of the chunks' concatenation, emitted once stable."""
+        specials, machine = self.m.special_split, Splitter(self)
+        if not specials:
+            for chunk in chunks:
+                yield from machine.feed(chunk)
+            yield from machine.finish()
+            return
+        ids, ahead, hold = self.m.specials, max(map(len, self.m.specials)) - 1, ""
         for chunk in chunks:
             hold += chunk
-            if specials:
-                *parts, hold = specials.split(hold)
-                for i, part in enumerate(parts):
-                    yield np.array([self.m.specials[part]], np.int32) if i % 2 else self.segment(self.split(part))
-            parts, end, limit = self.split(hold) if len(hold) > ahead else [], len(hold), len(hold) - ahead
-            while parts and end > limit:  # more text may change these
-                end -= len(parts.pop())
-            if parts:
-                yield self.segment(parts)
-                hold = hold[end:]
-        yield self.segment(self.split(hold))
+            *parts, hold = specials.split(hold) if any(s in hold for s in ids) else (hold,)
+            for i, part in enumerate(parts):
+                if i % 2:
+                    yield np.array([ids[part]], np.int32)
+                else:
+                    yield from machine.feed(part)
+                    yield from machine.finish()
+            if len(hold) > ahead:  # its last characters may begin a special token
+                yield from machine.feed(hold[: len(hold) - ahead])
+                hold = hold[len(hold) - ahead :]
+        yield from machine.feed(hold)
+        yield from machine.finish()
+
+
+def chunks_of(text: str) -> Iterator[str]:
+    return (text[i : i + CHUNK] for i in range(0, len(text), CHUNK))
 
 
 class Decoder:
     """Text of tokens that come one after the other."""
 
     def __init__(self, merges: Merges):
-        self.bytes = merges.token_bytes
+        self.bytes = [merges.token_bytes.get(i, b"") for i in range(max(merges.token_bytes) + 1)]
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> str:
-        of = self.bytes
-        return self.state.decode(b"".join([of[i] for i in ids if i in of]))
+        return self.state.decode(b"".join(map(self.bytes.__getitem__, ids)))
 
     def finish(self) -> str:
         return self.state.decode(b"", final=True)
@@ -357,11 +461,30 @@ def round_trip(docs: DataFrame, text: str = "text", ids: str = "ids", decoded: s
     return kept.mapInArrow(run, full).withColumnRenamed("_ids", ids).withColumnRenamed("_decoded", decoded)
 
 
+def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+    """key, number of ids, and digests of the ids and of what they decode to. Chunks go in; stable ids go to the digest and to the decoder at once, so that a worker holds neither all ids nor all decoded text of a document."""
+    path = path or vocabulary()
+
+    def make():
+        merges = merges_of(path)
+        encoder, decoder = Encoder(merges), Decoder(merges)
+        names = [str(i) for i in range(len(decoder.bytes))]
+
+        def each(t: str | None) -> tuple:
+            n, coded, plain = 0, hashlib.sha256(), hashlib.sha256()
+            for part in encoder.stream(chunks_of(t or "")):
+                if len(part):
+                    ids = part.tolist()
+                    coded.update(("," * (n > 0) + ",".join(map(names.__getitem__, ids))).encode())
+                    plain.update(decoder.feed(ids).encode())
+                    n += len(ids)
+            plain.update(decoder.finish().encode())
+            return n, coded.hexdigest(), plain.hexdigest()
+
+        return each
+
+    return map_texts(docs, [key], text, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
-    return round_trip(docs).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+    return digests(read_table(spark, sf_dir, "documents"))

@@ -536,3 +536,49 @@ def test_scans_of_odd_rows(spark, scan):
     assert sorted((r["doc_id"], len(r["base"])) for r in got)[:2] == [(0, 0), (1, 0)] and len(got) == 5
     assert len({str(r["base"]) for r in got if r["doc_id"] == 2}) == 1 and all(r["base"] for r in got if r["doc_id"] == 2)
     assert scan(df.limit(0)).count() == 0
+
+
+def test_op2_runs_longer_than_what_is_held(library, monkeypatch):
+    """Runs of each kind across chunks, with little held back: the same ids, and no buffer that follows the text."""
+    monkeypatch.setattr(bpe, "HOLD", 20)
+    m, r = bpe.merges_of(bpe.vocabulary()), random.Random(13)
+    for k in range(400):
+        s = "".join(r.choice(("a", "1", "!", " ", "\n", "é", "'s", "'", "\x1c", " b", "<|endoftext|>", "\U000323b0")) * r.choice((1, 1, 2, 30, 90)) for _ in range(r.randint(1, 8)))
+        cut = sorted(r.randint(0, len(s)) for _ in range(6))
+        chunks = [s[a:b] for a, b in zip([0, *cut], [*cut, len(s)])]
+        want = library.encode(s, add_special_tokens=False).ids
+        assert [int(i) for part in bpe.Encoder(m).stream(chunks) for i in part] == want, s
+    most, e = 0, bpe.Encoder(m)
+    machine = bpe.Splitter(e)
+    for _ in range(200):
+        for _ in machine.feed("ab" * 500):
+            pass
+        most = max(most, len(machine.hold) + len(machine.word.buffer if machine.run else b""))
+    assert most < 8 * bpe.WINDOW
+
+
+def test_op2_odd_rows(spark, library):
+    df = docs_of(spark, [None, "", "a b", "é" * 300_000]).union(docs_of(spark, ["a b"], 2)).withColumn("n_tokens", F.lit("x"))
+    got = sorted((r["doc_id"], r["n_tokens"]) for r in bpe.digests(df).collect())
+    n = len(library.encode("é" * 300_000, add_special_tokens=False).ids)
+    assert got == [(0, 0), (1, 0), (2, 2), (2, 2), (3, n)]
+    assert bpe.digests(df.limit(0)).count() == 0 and bpe.round_trip(df.limit(0)).count() == 0
+
+
+def test_op1_index_is_exact_and_bounded(monkeypatch):
+    """A block against brute force, with repeated ids and batches of one query; the scores of a batch stay below their bound."""
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    for n, width, top in ((300, 16, 256), (500, 3, 4), (700, 40, 10**6)):
+        rows = r.integers(-top, top + 1, (n, width))
+        ids = r.integers(0, n, n)
+        q = rows[:40]
+        for size in (1, 1 << 22):
+            monkeypatch.setattr(topk, "SCORE_BYTES", size)
+            got = topk.Block(ids, rows).search(*(x[np.argsort(ids[:40], kind="stable")] for x in (q, ids[:40])), 5)
+            order = np.argsort(ids[:40], kind="stable")
+            for i, found, scores in got:
+                me, x = ids[:40][order][i], q[order][i]
+                want = sorted((-int(rows[j] @ x), int(ids[j])) for j in range(n) if ids[j] != me)[:5]
+                assert [(-int(s), int(f)) for s, f in zip(scores, found)] == want
