@@ -5,9 +5,10 @@ character n-grams: at each of its characters the longest known n-gram that ends
 down to 1, with a penalty a step. A text's scores are the sums over its words; the best language wins
 (ties: the lexically smaller) and score is its posterior.
 
-The fit sees at most ``sample`` texts, picked by a hash of the key among rows that are not held
+The fit sees about ``sample`` texts, picked by a hash of the key among rows that are not held
 out and have a language; word counts are summed in Spark, and at most ``words`` words of each language reach the driver.
-Everything is predicted. lang, source and doc_id are never inputs of a prediction.
+Everything is predicted, whole and whatever its length; a repeated row gives a repeated result, an empty table an empty one,
+and other columns do not matter. lang, source and doc_id are never inputs of a prediction.
 
 ``und`` with score 0 stands for a null text, a text without a letter, and everything when no
 row could be learnt from. A letter is what str.isalpha says.
@@ -28,13 +29,14 @@ from pyspark.sql import functions as F
 
 from .common import map_texts, read_table, tidied
 
-#: Most texts that the fit sees.
+#: Texts that the fit is to see: where more could be learnt from, a hash of the key picks each with a chance that gives about so many.
 SAMPLE = 20_000
-#: Most words of a language that the model keeps.
-WORDS_KEPT = 60_000
+#: Most words of a language that the model keeps, and most languages; more languages are an error, not left out.
+WORDS_KEPT, MOST_LANGUAGES = 60_000, 1000
 #: Longest n-gram of the backoff, and what a step down costs.
 LONGEST, STEP = 4, math.log(0.4)
-CACHE = 400_000
+#: Words whose rows a worker remembers, and words of a text that are summed at once.
+CACHE, PART = 200_000, 50_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -48,55 +50,66 @@ def grams(word: str, n: int) -> list[str]:
 
 
 class WordModel:
+    """Rows of log frequencies by language, and the row of each word and n-gram."""
+
     def __init__(self, counts: dict[str, dict[str, int]]):
         """counts: by language, by word."""
         self.langs = sorted(counts)
         k = len(self.langs)
-        self.words, self.grams, self.floor = {}, {}, np.zeros(k)
+        self.words: dict[str, int] = {}
+        self.grams: dict[str, int] = {}
+        self.word_rows = self.gram_rows = np.zeros((0, max(k, 1)))
         if not k:
             return
-        total = np.array([sum(counts[x].values()) for x in self.langs], float)
-        vocab = sorted({w for x in self.langs for w in counts[x]})
-        table = np.array([[counts[x].get(w, 0) for x in self.langs] for w in vocab], float).reshape(-1, k)
-        self.words = dict(zip(vocab, np.log((table + 0.1) / (total + 0.1 * max(len(vocab), 1))), strict=True))
-        for n in range(1, LONGEST + 1):
-            seen: list[Counter] = [Counter() for _ in self.langs]
-            for j, x in enumerate(self.langs):
-                for w, c in counts[x].items():
+        self.words, self.word_rows = self._rows([counts[x] for x in self.langs], None)
+        of = [{x: Counter() for x in range(1, LONGEST + 1)} for _ in self.langs]
+        for j, x in enumerate(self.langs):
+            for w, c in counts[x].items():
+                for n in range(1, LONGEST + 1):
                     for g in grams(w, n):
-                        seen[j][g] += c
-            size = np.array([sum(s.values()) for s in seen], float)
-            for g in set(itertools.chain(*seen)):
-                self.grams[g] = np.log((np.array([s[g] for s in seen], float) + 0.1) / (size + 0.1 * 1000))
+                        of[j][n][g] += c
+        tables = []
+        for n in range(1, LONGEST + 1):
+            names, rows = self._rows([x[n] for x in of], 1000)
+            self.grams |= {g: len(self.grams) + i for g, i in names.items()}
+            tables.append(rows)
+        self.gram_rows = np.vstack(tables)
+
+    @staticmethod
+    def _rows(counts: list[dict[str, int]], smoothing: int | None) -> tuple[dict[str, int], np.ndarray]:
+        names = sorted(set(itertools.chain(*counts)))
+        table = np.array([[c.get(x, 0) for c in counts] for x in names], float).reshape(-1, len(counts))
+        total = np.array([sum(c.values()) for c in counts], float)
+        return {x: i for i, x in enumerate(names)}, np.log((table + 0.1) / (total + 0.1 * (smoothing or max(len(names), 1))))
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean over the characters, so that a long unseen word weighs no more than a known one."""
-        w, total = f"^{word}$", self.floor
+        w, rows, steps, get = f"^{word}$", [], 0, self.grams.get
         for end in range(2, len(w) + 1):
             for n in range(min(LONGEST, end), 0, -1):
-                s = self.grams.get(w[end - n : end])
-                if s is not None:
-                    total = total + s + STEP * (LONGEST - n)
+                i = get(w[end - n : end])
+                if i is not None:
+                    rows.append(i)
+                    steps += LONGEST - n
                     break
-        return 3 * total / max(len(w) - 1, 1)
+        return 3 * (self.gram_rows[rows].sum(axis=0) + STEP * steps) / max(len(w) - 1, 1)
 
 
 class Predictor:
+    """Predicts text by text; remembers the rows of words. What it has forgotten is worked out again, so results do not depend on it."""
+
     def __init__(self, model: WordModel):
         self.model = model
         self.row: dict[str, int] = {}
         self.table = np.zeros((1024, max(len(model.langs), 1)))
 
     def _add(self, word: str) -> int:
-        if len(self.row) >= CACHE:
-            self.row.clear()
         i = len(self.row)
         if i >= len(self.table):
             self.table = np.vstack([self.table, np.zeros_like(self.table)])
         s = self.model.words.get(word)
-        self.table[i] = self.model.unseen(word) if s is None else s
-        if len(word) <= 64:
-            self.row[word] = i
+        self.table[i] = self.model.unseen(word) if s is None else self.model.word_rows[s]
+        self.row[word] = i
         return i
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -105,14 +118,14 @@ class Predictor:
         seen = Counter(words_of(text))
         if not seen:
             return ("und", 0.0) if not any(map(str.isalpha, text)) else (self.model.langs[0], 1.0 / len(self.model.langs))
-        if len(self.row) + len(seen) > CACHE:
-            self.row.clear()
-        get, add = self.row.get, self._add
-        long = [w for w in seen if len(w) > 64]
-        total = sum((seen.pop(w) * self.model.unseen(w) for w in long), np.zeros(len(self.model.langs)))
-        rows = [i if (i := get(w)) is not None else add(w) for w in seen]
-        if rows:
-            total = total + np.fromiter(seen.values(), float, len(rows)) @ self.table[rows]
+        total = sum((seen.pop(w) * self.model.unseen(w) for w in [w for w in seen if len(w) > 64]), np.zeros(len(self.model.langs)))
+        each = iter(seen.items())
+        while part := list(itertools.islice(each, PART)):  # never more new words than rows are free
+            if len(self.row) + len(part) > CACHE:
+                self.row.clear()
+            get, add = self.row.get, self._add
+            rows = [i if (i := get(w)) is not None else add(w) for w, _ in part]
+            total = total + np.array([c for _, c in part], float) @ self.table[rows]
         p = np.exp(total - total.max())
         best = int(np.argmax(total))
         return self.model.langs[best], float(p[best] / p.sum())
@@ -123,9 +136,9 @@ def held_out(key: str):
 
 
 def fit_language(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, words: int = WORDS_KEPT) -> WordModel:
-    """Texts are counted in the executors; what reaches the driver is bounded by ``words`` a language and 1000 languages."""
+    """Texts are counted in the executors; what reaches the driver is bounded by ``words`` a language and MOST_LANGUAGES."""
     known = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.col(lang).cast("string").alias("_l")).where(F.col("_l").isNotNull() & F.col("_t").isNotNull() & F.col("_k").isNotNull() & ~held_out("_k"))
-    n = docs.select(F.col(lang)).where(F.col(lang).isNotNull()).count()
+    n = known.select("_k").count()
     if n > sample:
         known = known.where(F.pmod(F.xxhash64("_k"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
 
@@ -141,7 +154,9 @@ def fit_language(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b_, pa.string()), pa.array(c, pa.int64())], names=["l", "w", "c"])
 
     totals = known.select("_t", "_l").mapInArrow(count, "l string, w string, c long").groupBy("l", "w").agg(F.sum("c").alias("c"))
-    langs = [r["_l"] for r in known.select("_l").distinct().orderBy("_l").limit(1000).collect()]
+    langs = [r["_l"] for r in known.select("_l").distinct().orderBy("_l").limit(MOST_LANGUAGES + 1).collect()]
+    if len(langs) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     counts: dict[str, dict[str, int]] = {}
     for x in langs:  # a bounded number of bounded lists
         counts[x] = {}

@@ -308,7 +308,7 @@ def test_op7_long_runs_are_fitted(spark):
 
 
 def test_op8(spark):
-    mit = next(t for n, f, t in license_scan.TEMPLATES if (n, f) == ("MIT", "text"))
+    mit = next(t for n, f, t in license_scan.templates() if (n, f) == ("MIT", "text"))
     texts = ["prose before. Licensed under CC BY-NC 4.0. prose after", mit, mit.replace("free of charge", "free of any charge"), "the license of a driver", None, "", "x" * 50_000 + " Released under the MIT License.", "Released under the MIT License.\nLicensed under the Apache License, Version 2.0."]
     got = defaultdict(list)
     for r in license_scan.scan_licenses(docs_of(spark, texts).withColumn("start", F.lit(1))).collect():
@@ -321,7 +321,7 @@ def test_op8(spark):
 
 def test_op8_published_layout():
     """Blank lines between paragraphs and items, a notice and CC0 wrapped before the cue word."""
-    text = lambda name: next(t for n, f, t in license_scan.TEMPLATES if (n, f) == (name, "text"))
+    text = lambda name: next(t for n, f, t in license_scan.templates() if (n, f) == (name, "text"))
     mit = text("MIT").replace(" of this software", "\nof this software").replace("conditions: The", "conditions:\n\nThe")
     bsd2, bsd3 = (re.sub(r" (?=[123]\. )", "\n\n", text(n)).replace(" notice, this", " notice,\n   this") for n in ("BSD-2-Clause", "BSD-3-Clause"))
     cc0 = text("CC0-1.0").replace(" the author", "\nthe author")
@@ -336,7 +336,7 @@ def test_op8_published_layout():
 
 
 def test_op8_several_texts_in_a_block():
-    text = lambda name: next(t for n, f, t in license_scan.TEMPLATES if (n, f) == (name, "text"))
+    text = lambda name: next(t for n, f, t in license_scan.templates() if (n, f) == (name, "text"))
     for names in (["MIT", "BSD-3-Clause"], ["MIT", "GPL-3.0"], ["MIT", "MIT"], ["BSD-2-Clause", "MIT", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "ISC"], ["GPL-3.0", "GPL-2.0", "GPL-3.0"], ["CC0-1.0"] * 4):
         for sep in (" ", "\n\n"):
             got = license_scan.scan("prose " + sep.join(map(text, names)) + " prose")
@@ -582,3 +582,84 @@ def test_op1_index_is_exact_and_bounded(monkeypatch):
                 me, x = ids[:40][order][i], q[order][i]
                 want = sorted((-int(rows[j] @ x), int(ids[j])) for j in range(n) if ids[j] != me)[:5]
                 assert [(-int(s), int(f)) for s, f in zip(scores, found)] == want
+
+
+def test_op8_spellings_names_and_tags():
+    for t, license, form in (
+        ("Licensed under the MIT license.", "MIT", "notice"),
+        ("Apache License v2.0", "Apache-2.0", "name"),
+        ("it is licensed under GPLv3 now", "GPL-3.0", "notice"),
+        ("GNU GPL version 2 or later", "GPL-2.0", "name"),
+        ("// SPDX-License-Identifier: BSD-3-Clause\n", "BSD-3-Clause", "tag"),
+        ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0", "notice"),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nCopyright (C) 2007 Free Software Foundation, Inc.\nEveryone is permitted to copy and distribute verbatim copies\nof this license document, but changing it is not allowed.", "LGPL-3.0", "text"),
+    ):
+        assert [(r[2], r[3], r[7]) for r in license_scan.scan(t)] == [(license, form, True)], t
+    for t in ("the license of a driver", "GPL is a word; the new license of 3 drivers", "a modified license of the common apache helicopter"):
+        assert license_scan.scan(t) == []
+
+
+def test_op8_against_plain_search(spark, sf):
+    """Wherever a wording stands word for word, a match of its license covers it, unless a longer wording of another does."""
+    plain = [(n, re.compile(r"(?<![A-Za-z0-9])" + r"[^A-Za-z0-9]+".join(w for w, _, _ in license_scan.words_of(t)) + r"(?![A-Za-z0-9])", re.I | re.A)) for n, f, t in license_scan.templates() if f != "name"]
+    got = defaultdict(list)
+    for r in license_scan.op8_licenses(spark, sf).collect():
+        got[r["doc_id"]].append((r["start"], r["end"], r["license"]))
+    n = 0
+    for x in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        if "icens" in (x["text"] or ""):
+            for name, p in plain:
+                for m in p.finditer(x["text"]):
+                    n += 1
+                    assert any(s <= m.start() and m.end() <= e and (name == k or e - s > len(m[0])) for s, e, k in got[x["doc_id"]])
+    assert n
+
+
+def test_op8_odd_rows(spark):
+    t = "Released under the MIT License."
+    df = docs_of(spark, [None, "", t]).union(docs_of(spark, [t], 2)).withColumn("license", F.lit("x"))
+    assert [(r["doc_id"], r["license"]) for r in license_scan.scan_licenses(df).collect()] == [(2, "MIT")] * 2
+    assert license_scan.scan_licenses(df.limit(0)).count() == 0
+
+
+def plain_language(m, text):
+    """The scores word by word, without any memory."""
+    import math
+
+    import numpy as np
+
+    total = np.zeros(len(m.langs))
+    for w in language.words_of(text):
+        if w in m.words:
+            total = total + m.word_rows[m.words[w]]
+            continue
+        s = f"^{w}$"
+        own = np.zeros(len(m.langs))
+        for end in range(2, len(s) + 1):
+            n = next((n for n in range(min(4, end), 0, -1) if s[end - n : end] in m.grams), None)
+            if n:
+                own = own + m.gram_rows[m.grams[s[end - n : end]]] + (4 - n) * math.log(0.4)
+        total = total + 3 * own / max(len(s) - 1, 1)
+    p = np.exp(total - total.max())
+    return m.langs[int(np.argmax(total))], float(p.max() / p.sum())
+
+
+def test_op7_against_plain_version(monkeypatch):
+    """Texts with more distinct words than are remembered, and long words, are predicted as word by word."""
+    r = random.Random(14)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.choice((1, 2, 3, 5, 8, 100, 1000))))
+    m = language.WordModel({x: Counter(word(letters) for _ in range(300)) for x, letters in (("aa", "abcde"), ("bb", "cdefg"), ("cc", "aeiou"))})
+    monkeypatch.setattr(language, "CACHE", 12)
+    monkeypatch.setattr(language, "PART", 5)
+    p = language.Predictor(m)
+    for _ in range(150):
+        t = " ".join(word("abcdefgiou") for _ in range(r.randint(1, 60)))
+        got, want = p.predict(t), plain_language(m, t)
+        assert got[0] == want[0] and abs(got[1] - want[1]) < 1e-9
+
+
+def test_op7_odd_rows(spark):
+    m = language.WordModel({"en": {"the": 5}, "fr": {"le": 5}})
+    df = docs_of(spark, [None, "le le"]).union(docs_of(spark, ["le le"], 1)).withColumn("lang_pred", F.lit(1))
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in language.identify(df, m).collect()) == [(0, "und"), (1, "fr"), (1, "fr")]
+    assert language.identify(df.limit(0), m).count() == 0
