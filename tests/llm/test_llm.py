@@ -663,3 +663,106 @@ def test_op7_odd_rows(spark):
     df = docs_of(spark, [None, "le le"]).union(docs_of(spark, ["le le"], 1)).withColumn("lang_pred", F.lit(1))
     assert sorted((r["doc_id"], r["lang_pred"]) for r in language.identify(df, m).collect()) == [(0, "und"), (1, "fr"), (1, "fr")]
     assert language.identify(df.limit(0), m).count() == 0
+
+
+REAL_PII = """You can phone me on (415) 555-0132 after six|phone_local
+call her mobile 415-555-0178 instead|phone_local
+tel 020 7946 0958 in London|phone_local
+fax: 555 010 9934 please|phone_local
+my IBAN is DE89 3704 0044 0532 0130 00 thanks|iban
+transfer it to bank account GB29NWBK60161331926819 today|iban
+her SSN is 123-45-6789 as filed|ssn
+social security 219-09-9999 on the form|ssn
+client address 2001:0db8:85a3:0000:0000:8a2e:0370:7334 logged in|ipv6
+the device mac 3c:22:fb:9a:01:7e was seen|mac
+hardware address 00-1B-44-11-3A-B7 of the laptop|mac
+mail jane.doe [at] example [dot] org for details|email_words
+contact peter(at)mailhost(dot)de tonight|email_words
+reach me: bob at example dot com always|email_words
+she lives at 221 Baker Street with friends|street
+deliver to 1600 Amphitheatre Avenue today|street
+home address 42 Maple Lane since then|street""".split("\n")
+NO_PII = """version 10.2.31 was released|isbn 978-3-16-148410|invoice 2023-11-05 was paid|order 415-555-0178 shipped late|part no. 123-45-6789 is out of stock|score 21 19 25 23 in four sets|date 12.10.2024 and 13.10.2024|ratio 16:9 at 12:30:45 today|chapter 3 Park Way|serial 219-09-9999 on the box|page 212 to 218 and 220|we meet at noon dot dot dot""".split("|")
+
+
+def test_op4_recall_and_precision_of_the_model():
+    """Sentences that no example was composed from: at least 0.9 of the planted spans are found, and nothing in the others."""
+    model, limits = pii.trained()
+    hits = [k in [x for x, _, _ in pii.find_pii(t, model, limits)[1]] for t, k in (x.split("|") for x in REAL_PII)]
+    assert sum(hits) >= 0.9 * len(hits), [t for t, h in zip(REAL_PII, hits) if not h]
+    assert [t for t in NO_PII if pii.find_pii(t, model, limits) != ([], [])] == []
+
+
+def test_op4_spans_do_not_overlap_what_is_taken():
+    """Against a plain check of every pair, with many base spans inside a candidate's reach."""
+    model, limits = pii.trained()
+    r = random.Random(15)
+    parts = ["phone 415-555-0178 ", "a@b.c ", "1.2.3.4 ", "4111 1111 1111 1111 ", "+1 (988) 555-2485 ", "ssn 123-45-6789 ", "x ", "call (212) 555-0199 "]
+    for _ in range(300):
+        t = "".join(r.choice(parts) for _ in range(r.randint(1, 12)))
+        base, more = pii.find_pii(t, model, limits)
+        every = [(s, e) for _, s, e in base + more]
+        assert all(e <= s2 or e2 <= s for _, s, e in more for s2, e2 in every if (s, e) != (s2, e2))
+        free = [c for c in pii.candidates(t) if not any(c[1] < e and s < c[2] for _, s, e in base)]
+        q = model.probability(pii.np.array([pii.features(t, c) for c in free])) if free else []
+        assert all(any(c[1] < e and s < c[2] for s, e in every) for p, c in zip(q, free) if p >= limits[c[0]])
+    long = "x" * 100 + " at " + "host" * 100 + " dot com"
+    assert [k for k, _, _ in pii.candidates("mail " + long)] == ["email_words"]
+
+
+def test_op5_odd_rows(spark):
+    """Rows without a key take no part, repeated rows give one row, very long texts are searched whole."""
+    item = "the red fox jumps over a lazy dog while nine birds are watching the game from above"
+    bench = spark.createDataFrame([(1, item), (1, item), (None, item)], "item_id long, text string")
+    long = "some words that go on and on " * 20_000 + item
+    df = docs_of(spark, [item, long]).union(docs_of(spark, [item])).union(spark.createDataFrame([(None, item, None, None, None)], DOCS))
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df.withColumn("b_key", F.lit(1)), bench).collect()) == [(0, 1), (1, 1)]
+
+
+def test_op6_rules_against_plain_version(spark, sf):
+    """The compiled column gives what the rules give one by one; repeated rows and clashing columns are scored alike."""
+    import math
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.fit_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = quality.score_quality(docs.union(docs).withColumn("log_chars", F.lit("x")).withColumn("score", F.lit(1)), model).collect()
+    assert len(got) == 2 * len(texts) and len({tuple(r) for r in got}) == len(texts)
+    for r in got:
+        x = quality.stats(texts[r["doc_id"]])
+        z = model.bias + sum(w for rule, w in zip(model.rules, model.weights) if all((x[j] <= t) == le for j, t, le in rule))
+        assert abs(r["score"] - 1 / (1 + math.exp(-z))) < 1e-9 and r["predicted"] == int(r["score"] >= 0.3)
+    assert quality.score_quality(docs.limit(0), model).count() == 0
+
+
+def test_op10_odd_rows(spark):
+    df = docs_of(spark, [None, "", "a b"]).union(docs_of(spark, ["a b"], 2)).withColumn("n_tokens", F.lit("x"))
+    got = sorted((r["doc_id"], r["n_tokens"]) for r in unigram.count_tokens(df).collect())
+    assert got[:2] == [(0, 0), (1, 0)] and got[2] == got[3] and got[2][1] > 0
+    assert unigram.count_tokens(df.limit(0)).count() == 0
+
+
+def test_op1_repeated_ids(spark):
+    """Rows that share a query's id count as the query's own; repeated rows of other ids each count."""
+    rows = [(0, [1, 0]), (0, [9, 9]), (1, [2, 0]), (1, [2, 0]), (2, [1, 1])]
+    got = topk.top_k(spark.createDataFrame(rows, "id long, v array<long>"), F.col("id") == 0, 3).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(1, 1, 2), (1, 1, 18), (2, 1, 2), (2, 1, 18), (3, 2, 1), (3, 2, 18)]
+
+
+def test_pipeline_of_an_empty_table(spark):
+    import corpus_pipeline
+
+    docs = docs_of(spark, [])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        assert docs.count() == 0 and docs.columns[0] == "doc_id"
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_pipeline_quality_of_odd_rows(spark, sf):
+    """The quality stage keeps or drops a row by its score alone, whatever its other columns."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").union(docs_of(spark, [None, "", "one two"], 10**6)).withColumn("_log_chars", F.lit(None).cast("string"))
+    kept = stages.quality(spark, docs, sf)
+    model = quality.fit_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    want = {r["doc_id"] for r in quality.score_quality(docs, model).where("score >= 0.3").collect()}
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == want
