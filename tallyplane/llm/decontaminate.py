@@ -11,7 +11,7 @@ Windows with fewer than LITERAL words that are no placeholders say little by the
 values are equal too, and count beside the others; a pair is found if SHARE of all the item's windows is covered, or
 SHARE of its telling ones. An item with fewer words than WINDOW has one window of all its words; documents have windows
 of each such length that the benchmark has. Null and empty texts match nothing; a repeated document or item gives one
-row a distinct pair of keys.
+row a distinct pair of keys; rows with a null key take no part.
 
 The benchmark is broadcast if it has at most BROADCAST_ROWS windows, otherwise windows meet by a shuffle.
 """
@@ -50,14 +50,15 @@ def template_words(raw: Column) -> Column:
 
 def _windows(table: DataFrame, key: str, text: str, prefix: str, short: tuple[int, ...] = ()) -> DataFrame:
     """key, raw, words, pos (0-based) and len of every window: of WINDOW words, a shorter text as a whole; with short lengths, of each of these too."""
-    raw = table.select(F.col(key).alias(prefix + "key"), raw_words(F.col(text).cast("string")).alias(prefix + "raw")).where(F.col(prefix + "raw") != "")
+    raw = table.select(F.col(key).alias(prefix + "key"), raw_words(F.col(text).cast("string")).alias(prefix + "raw"))
     words = raw.withColumn(prefix + "words", F.split(template_words(F.col(prefix + "raw")), " "))
     n = F.size(prefix + "words")
+    some = F.col(prefix + "raw") != ""  # no windows otherwise; a filter would be pushed below and repeat all replacements
     if not short:
-        return words.select("*", F.explode(F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0)))).alias(prefix + "pos"), F.lit(WINDOW).alias(prefix + "len"))
+        return words.select("*", F.explode(F.when(some, F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))))).alias(prefix + "pos"), F.lit(WINDOW).alias(prefix + "len"))
     lengths = F.filter(F.array(*[F.lit(k) for k in (*short, WINDOW)]), lambda k: k <= n)
     places = F.flatten(F.transform(lengths, lambda k: F.transform(F.sequence(F.lit(0), n - k), lambda i: F.struct(i.alias("pos"), k.alias("len")))))
-    return words.select("*", F.explode(places).alias("_at")).select("*", F.col("_at.pos").alias(prefix + "pos"), F.col("_at.len").alias(prefix + "len")).drop("_at")
+    return words.select("*", F.explode(F.when(some, places)).alias("_at")).select("*", F.col("_at.pos").alias(prefix + "pos"), F.col("_at.len").alias(prefix + "len")).drop("_at")
 
 
 def _slots(prefix: str) -> Column:
@@ -67,24 +68,46 @@ def _slots(prefix: str) -> Column:
     return F.transform(F.filter(F.arrays_zip(words.alias("t"), raw.alias("r")), lambda x: x["t"].isin(NUM, NAME, UNIT)), lambda x: F.lower(x["r"]))
 
 
+def _word(prefix: str, k: int) -> Column:
+    """The window's k-th word, null beyond its end. Single words, unlike slices, are read in place by generated code."""
+    return F.when(F.lit(k) < F.col(prefix + "len"), F.get(F.col(prefix + "words"), F.col(prefix + "pos") + k))
+
+
+def _hash(prefix: str) -> Column:
+    return F.xxhash64(*[_word(prefix, k) for k in range(WINDOW)])
+
+
+def _telling(prefix: str) -> Column:
+    """Whether LITERAL words of the window, or all of a shorter one, are no placeholders."""
+    plain = sum((F.when(_word(prefix, k).isin(NUM, NAME, UNIT), 0).when(_word(prefix, k).isNull(), 0).otherwise(1) for k in range(WINDOW)), F.lit(0))
+    return plain >= F.least(F.lit(LITERAL), F.col(prefix + "len"), F.size(prefix + "words"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """key, item, n_windows (of the item, covered) and n_item (of the item) for every contaminated pair."""
     at = lambda p: F.slice(f"{p}words", F.col(f"{p}pos") + 1, F.col(f"{p}len"))
-    telling = lambda w: F.size(F.filter(w, lambda x: ~x.isin(NUM, NAME, UNIT))) >= F.least(F.lit(LITERAL), F.size(w))
     b = _windows(benchmark, item, item_text, "b_").where(F.col("b_key").isNotNull()).withColumn("b_window", at("b_"))
-    b = b.select("b_key", "b_pos", "b_window", _slots("b_").alias("b_slots"), telling("b_window").alias("b_telling"))
-    b = b.withColumn("b_hash", F.when(F.col("b_telling"), F.xxhash64("b_window")).otherwise(F.xxhash64("b_window", "b_slots"))).distinct()
+    b = b.select("b_key", "b_pos", "b_window", _slots("b_").alias("b_slots"), _telling("b_").alias("b_telling"), _hash("b_").alias("b_hash"))
+    b = b.withColumn("b_hash", F.when(F.col("b_telling"), F.col("b_hash")).otherwise(F.xxhash64("b_hash", "b_slots"))).distinct()
     # what the documents need beside telling windows of WINDOW words: a few lengths and a flag
     need = b.agg(F.collect_set(F.when(F.size("b_window") < WINDOW, F.size("b_window"))).alias("short"), F.max(~F.col("b_telling")).alias("dense")).first()
     sizes = b.groupBy("b_key").agg(F.countDistinct("b_pos").alias("n_item"), F.countDistinct(F.when(F.col("b_telling"), F.col("b_pos"))).alias("n_telling"))
     d = _windows(docs.where(F.col(key).isNotNull()), key, text, "d_", tuple(sorted(need["short"])))
-    side = F.broadcast(b) if small_enough(b, BROADCAST_ROWS) else b
-    own, same = F.xxhash64(at("d_")), (F.col("d_hash") == F.col("b_hash")) & (at("d_") == F.col("b_window"))
+    small = small_enough(b, BROADCAST_ROWS)
+    own, window, values = _hash("d_"), at("d_"), _slots("d_")
+    if need["dense"]:
+        own = F.when(_telling("d_"), own).otherwise(F.xxhash64(own, values))
+    d = d.withColumn("d_hash", own)
+    if not small:  # a shuffled row carries its own words only, not the document's
+        d = d.select("d_key", "d_pos", "d_hash", window.alias("d_window"), values.alias("d_slots"))
+        window, values = F.col("d_window"), F.col("d_slots")
+    # only the hash is a join key: as a key the window would be cut out for every row, and its text replaced twice (once to see if it is null)
+    alike = lambda x, y: F.coalesce(x == y, F.lit(False))
+    same = (F.col("d_hash") == F.col("b_hash")) & alike(window, F.col("b_window"))
     if need["dense"]:
-        own = F.when(telling(at("d_")), own).otherwise(F.xxhash64(at("d_"), _slots("d_")))
-        same = same & (F.col("b_telling") | (_slots("d_") == F.col("b_slots")))
-    hits = d.withColumn("d_hash", own).join(side, same)
-    slots = F.when(F.col("b_telling") & (F.size("b_slots") > 0), F.arrays_zip(F.col("b_slots").alias("b"), _slots("d_").alias("d")))
+        same = same & (F.col("b_telling") | alike(values, F.col("b_slots")))
+    hits = d.join(F.broadcast(b) if small else b, same)
+    slots = F.when(F.col("b_telling") & (F.size("b_slots") > 0), F.arrays_zip(F.col("b_slots").alias("b"), values.alias("d")))
     hits = staged(hits.select("d_key", "b_key", "b_pos", "b_telling", (F.col("d_pos") - F.col("b_pos")).alias("line"), slots.alias("slots")), "hits")
     # along one alignment each value of the benchmark stands for one value of the document
     told = hits.where(F.col("slots").isNotNull()).select("d_key", "b_key", "line", F.explode("slots").alias("s")).groupBy("d_key", "b_key", "line", F.col("s.b").alias("value")).agg((F.min(F.xxhash64("s.d")) != F.max(F.xxhash64("s.d"))).alias("broken"))
