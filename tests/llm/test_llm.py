@@ -766,3 +766,9 @@ def test_pipeline_quality_of_odd_rows(spark, sf):
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     want = {r["doc_id"] for r in quality.score_quality(docs, model).where("score >= 0.3").collect()}
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == want
+
+
+def test_op5_by_shuffle(spark, sf, monkeypatch):
+    want = sorted(map(tuple, decontaminate.op5_decontamination(spark, sf).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert want and sorted(map(tuple, decontaminate.op5_decontamination(spark, sf).collect())) == want
