@@ -1,7 +1,7 @@
 """Connected components over an edge table: alternating large-star and small-star steps, each a minimum by key and a join back.
 
 The minimum combines before the shuffle and the join can be split where a key is hot, so that a
-star with a third of all nodes is no problem. Each round is written to the shared folder.
+star with a third of all nodes is no problem. Each round is written to the shared folder, and the one before it deleted.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -37,6 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
         # settled: every node points at a root, and no root points anywhere
         loose = nxt.join(nxt.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count()
         several = nxt.groupBy("u").count().where("count > 1").limit(1).count() if not loose else 1
+        discard(now)
         now = nxt
         if not loose and not several:
             break

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import FLUSH_CHARS, arrow_schema, read_table, staged, tidied, with_size_check
+from .common import FLUSH_CHARS, arrow_schema, discard, read_table, staged, tidied, with_size_check
 from .components import components
 
 #: Buckets of the sketch, and parts into which it is cut for summing.
@@ -291,13 +291,14 @@ def _sets(docs: DataFrame, text: str, words: int, salt: int) -> DataFrame:
     return docs.select(F.col(text).cast("string")).mapInArrow(run, schema)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int, percent: int, salt: int) -> DataFrame:
-    """Of the pairs (u, v), those that link, by their exact sets. Only documents that stand for a node of a pair are read into sets."""
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int, percent: int, salt: int, made: list[DataFrame]) -> DataFrame:
+    """Of the pairs (u, v), those that link, by their exact sets. Only documents that stand for a node of a pair are read into sets. made takes the tables that the result reads."""
     named = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
     named = staged(named.join(nodes.select("node", "doc"), "node"), "named")
     few = with_size_check(named.select(F.col("doc").alias("_d")).distinct(), BROADCAST_ROWS)
     held = docs.join(few, F.col(key).eqNullSafe(F.col("_d")), "left_semi")
     sets = staged(_sets(held, text, words, salt).join(with_size_check(named.select("node"), BROADCAST_ROWS), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    made += [named, sets]
     a = sets.select(F.col("node").alias("u"), F.col("tokens").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("tokens").alias("b"))
     both = pairs.select("u", "v").join(a, "u").join(b, "v").select("u", "v", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("both"))
@@ -355,8 +356,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     stars = members.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
     stars = staged(described(described(stars, "u", "a_"), "v", "b_").where(_fits("a_", "b_", percent)).select("u", "v"), "stars")
-    verify = lambda pairs: _verified(pairs, docs, nodes, key, text, words, percent, salt)
+    made: list[DataFrame] = []
+    verify = lambda pairs: _verified(pairs, docs, nodes, key, text, words, percent, salt, made)
     links = staged(verify(stars), "links")
+    discard(*made)
+    made.clear()
     roots = staged(components(links), "roots")
 
     # pairs across components: members outside their hub's component against all members of the bucket
@@ -367,7 +371,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     mark = F.xxhash64("node", F.lit(1)).cast("decimal(20,0)")
     same = placed.groupBy("sig").agg(F.count("*").alias("c"), F.sum(mark).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(2))).alias("y"), F.max("stray").alias("any"))
     kept = same.where("any").groupBy("c", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
-    placed = staged(placed.join(kept, "sig", "left_semi"), "across")
+    whole, placed = placed, staged(placed.join(kept, "sig", "left_semi"), "across")
+    discard(whole)
     left = placed.where("stray").select("sig", *[F.col(c).alias("a_" + c) for c in ("node", "root", *facts)])
     right = placed.select("sig", *[F.col(c).alias("b_" + c) for c in ("node", "root", "stray", *facts)])
     across = left.join(right, (left["sig"] == right["sig"]) & (F.col("a_root") != F.col("b_root")) & (~F.col("b_stray") | (F.col("a_node") < F.col("b_node"))) & _fits("a_", "b_", percent))
@@ -375,7 +380,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     done = stars.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     across = staged(across.join(done, ["u", "v"], "left_anti"), "across")
     every = links.union(verify(across))
-    roots = staged(components(every), "roots")
+    before, roots = roots, staged(components(every), "roots")
+    discard(members, info, stars, links, placed, across, before, *made)
 
     linked = nodes.join(roots, "node", "left").select("node", "doc", F.coalesce("root", "node").alias("root"))
     least = linked.groupBy("root").agg(F.min("doc").alias("component_id"))
