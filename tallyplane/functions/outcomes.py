@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scalars import is_blank
+from .scalars import broadcast_if_small, is_blank
 
 #: Plausible ranges of outcomes on their own scale.
 RANGES = {
@@ -14,20 +14,38 @@ RANGES = {
 }
 #: Other spellings in a curated column; never to be used on prose.
 ALIASES = {
-    "Heart rate": ("HR", "HEART RATE", "PULSE RATE"),
-    "Systolic blood pressure": ("SBP", "SYSTOLIC BP", "SYSTOLIC PRESSURE"),
-    "Diastolic blood pressure": ("DBP", "DIASTOLIC BP", "DIASTOLIC PRESSURE"),
-    "Mean arterial pressure": ("MAP", "MEAN BP", "MEAN ARTERIAL BLOOD PRESSURE"),
-    "Stroke volume": ("SV", "STROKE INDEX"),
-    "Cardiac output": ("CO", "CARDIAC INDEX"),
-    "Total peripheral resistance": ("TPR", "SVR", "SYSTEMIC VASCULAR RESISTANCE"),
-    "Cerebral blood flow velocity": ("CBFV", "MCAV", "MIDDLE CEREBRAL ARTERY VELOCITY"),
-    "MSNA": ("MUSCLE SYMPATHETIC NERVE ACTIVITY",),
-    "Plasma volume": ("PV",),
-    "Peak VO2": ("VO2PEAK", "PEAK VO2", "VO2 PEAK", "VO2MAX"),
-    "HRV RMSSD": ("RMSSD",),
-    "HRV SDNN": ("SDNN",),
-    "Minute ventilation": ("VE", "MINUTE VENTILATION"),
+    "HR": "Heart rate",
+    "HEART RATE": "Heart rate",
+    "PULSE RATE": "Heart rate",
+    "SBP": "Systolic blood pressure",
+    "SYSTOLIC BP": "Systolic blood pressure",
+    "SYSTOLIC PRESSURE": "Systolic blood pressure",
+    "DBP": "Diastolic blood pressure",
+    "DIASTOLIC BP": "Diastolic blood pressure",
+    "DIASTOLIC PRESSURE": "Diastolic blood pressure",
+    "MAP": "Mean arterial pressure",
+    "MEAN BP": "Mean arterial pressure",
+    "MEAN ARTERIAL BLOOD PRESSURE": "Mean arterial pressure",
+    "SV": "Stroke volume",
+    "STROKE INDEX": "Stroke volume",
+    "CO": "Cardiac output",
+    "CARDIAC INDEX": "Cardiac output",
+    "TPR": "Total peripheral resistance",
+    "SVR": "Total peripheral resistance",
+    "SYSTEMIC VASCULAR RESISTANCE": "Total peripheral resistance",
+    "CBFV": "Cerebral blood flow velocity",
+    "MCAV": "Cerebral blood flow velocity",
+    "MIDDLE CEREBRAL ARTERY VELOCITY": "Cerebral blood flow velocity",
+    "MUSCLE SYMPATHETIC NERVE ACTIVITY": "MSNA",
+    "PV": "Plasma volume",
+    "VO2PEAK": "Peak VO2",
+    "PEAK VO2": "Peak VO2",
+    "VO2 PEAK": "Peak VO2",
+    "VO2MAX": "Peak VO2",
+    "RMSSD": "HRV RMSSD",
+    "SDNN": "HRV SDNN",
+    "VE": "Minute ventilation",
+    "MINUTE VENTILATION": "Minute ventilation",
 }
 #: Wording that names who or when, not what.
 GROUP_LABELS = (r"presyncopal", r"nonpresyncopal", r"non-presyncopal", r"\bat presyncope\b", r"\bpresyncope and\b", r"\bpresyncope\b", r"\bfinishers?\b", r"\bnonfinishers?\b", r"\bfainters?\b", r"\bnonfainters?\b", r"\bmen\b", r"\bwomen\b", r"\bmales?\b", r"\bfemales?\b", r"crew ?members?", r"astronauts?", r"cosmonauts?", r"\bsubjects?\b", r"\bparticipants?\b", r"\bcontrols?\b", r"\bresponders?\b", r"\bnonresponders?\b", r"\btolerant\b", r"\bintolerant\b", r"\bbaseline\b", r"\brecovery\b")
@@ -40,7 +58,7 @@ def folded(c: Column) -> Column:
 
 def canonical(c: Column) -> Column:
     """The canonical outcome of a cell, or null."""
-    pairs = {a: name for name, words in ALIASES.items() for a in words} | {name.upper(): name for name in RANGES}
+    pairs = ALIASES | {name.upper(): name for name in RANGES}
     table = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
     return F.when(~is_blank(c), F.try_element_at(table, folded(c)))
 
@@ -50,8 +68,8 @@ def range_table(spark: SparkSession) -> DataFrame:
 
 
 def with_range(rows: DataFrame, outcome: str, ranges: DataFrame | None = None) -> DataFrame:
-    """rows with low and high: the range of the cell as it is written, else of its canonical name. The table of ranges is declared, so it is broadcast."""
-    r = F.broadcast(ranges if ranges is not None else range_table(rows.sparkSession))
+    """rows with low and high: the range of the cell as it is written, else of its canonical name. A caller's table of ranges is broadcast only where it is small."""
+    r = F.broadcast(range_table(rows.sparkSession)) if ranges is None else broadcast_if_small(ranges)
     exact = r.select(F.col("outcome").alias("_e"), F.col("low").alias("_el"), F.col("high").alias("_eh"))
     known = r.select(F.col("outcome").alias("_k"), F.col("low").alias("_kl"), F.col("high").alias("_kh"))
     both = rows.join(exact, F.col(outcome) == F.col("_e"), "left").join(known, canonical(F.col(outcome)) == F.col("_k"), "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Spellings that stand for "no value", after trimming and upper-casing.
@@ -15,16 +15,41 @@ TRUE_WORDS = ("TRUE", "T", "YES", "Y", "1")
 FALSE_WORDS = ("FALSE", "F", "NO", "N", "0")
 #: Names of association statistics.
 ASSOCIATIONS = {
-    "PEARSON_R": ("PEARSON_R", "PEARSON", "PEARSON_CORRELATION", "PEARSON_CORRELATION_COEFFICIENT", "R", "CORRELATION", "CORRELATION_COEFFICIENT"),
-    "SPEARMAN_RHO": ("SPEARMAN_RHO", "SPEARMAN", "SPEARMAN_CORRELATION", "SPEARMAN_R", "RHO", "RS"),
-    "KENDALL_TAU": ("KENDALL_TAU", "KENDALL", "TAU"),
-    "R_SQUARED": ("R_SQUARED", "R2"),
-    "SLOPE": ("SLOPE", "REGRESSION_SLOPE", "BETA"),
+    "PEARSON_R": "PEARSON_R",
+    "PEARSON": "PEARSON_R",
+    "PEARSON_CORRELATION": "PEARSON_R",
+    "PEARSON_CORRELATION_COEFFICIENT": "PEARSON_R",
+    "R": "PEARSON_R",
+    "CORRELATION": "PEARSON_R",
+    "CORRELATION_COEFFICIENT": "PEARSON_R",
+    "SPEARMAN_RHO": "SPEARMAN_RHO",
+    "SPEARMAN": "SPEARMAN_RHO",
+    "SPEARMAN_CORRELATION": "SPEARMAN_RHO",
+    "SPEARMAN_R": "SPEARMAN_RHO",
+    "RHO": "SPEARMAN_RHO",
+    "RS": "SPEARMAN_RHO",
+    "KENDALL_TAU": "KENDALL_TAU",
+    "KENDALL": "KENDALL_TAU",
+    "TAU": "KENDALL_TAU",
+    "R_SQUARED": "R_SQUARED",
+    "R2": "R_SQUARED",
+    "SLOPE": "SLOPE",
+    "REGRESSION_SLOPE": "SLOPE",
+    "BETA": "SLOPE",
 }
 TIERS = ("R0", "R1", "R2", "R3", "R4")
 NUMBER = r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?$"
 
 
+#: Rows of a table that may be broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if it has at most so many rows (no more than that and one are counted); beyond, joins shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def folded(c: Column) -> Column:
     return F.upper(F.trim(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"^\s+|\s+$", "")))
 
@@ -73,7 +98,7 @@ def name_set(c: Column) -> Column:
 
 def association_type(c: Column) -> Column:
     key = F.regexp_replace(F.trim(F.regexp_replace(F.upper(F.coalesce(c, F.lit(""))), r"[-_\s]+", " ")), " ", "_")
-    pairs = [F.lit(x) for name, words in ASSOCIATIONS.items() for w in words for x in (w, name)]
+    pairs = [F.lit(x) for kv in ASSOCIATIONS.items() for x in kv]
     return F.try_element_at(F.create_map(*pairs), key)
 
 

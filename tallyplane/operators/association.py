@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Fixed value: above so many points Kendall's p is the normal approximation.
 KENDALL_EXACT_MAX = 200
+#: Rows of a group whose pairs are counted; a larger one is refused by name.
+KENDALL_MOST = 5_000_000
 
 
 def average_ranks(rows: DataFrame, by: list[str], value: str, rank: str) -> DataFrame:
@@ -28,7 +32,7 @@ def moments(rows: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     fine = (F.col("n") >= 3) & (F.col("sxx") > 0) & (F.col("syy") > 0)
     r = F.col("sxy") / F.sqrt(F.col("sxx") * F.col("syy"))
     slope = F.col("sxy") / F.col("sxx")
-    se = F.sqrt((F.col("syy") - slope * F.col("sxy")) / (F.col("n") - 2) / F.col("sxx"))
+    se = F.sqrt(F.greatest(F.col("syy") - slope * F.col("sxy"), F.lit(0.0)) / (F.col("n") - 2) / F.col("sxx"))
     return s.select(*by, "n", F.when(fine, r).alias("pearson_r"), F.when(fine, r * r).alias("r_squared"), F.when(fine, slope).alias("slope"), F.when(fine, se).alias("slope_se"))
 
 
@@ -37,15 +41,50 @@ def spearman(rows: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     return moments(ranked, by, "_rx", "_ry").select(*by, "n", F.col("pearson_r").alias("spearman_rho"))
 
 
+def inversions(ranks: np.ndarray) -> int:
+    """Pairs in falling order, in n log n: bit by bit from the highest, ones before zeros among the values equal so far."""
+    n, total = len(ranks), 0
+    now = ranks.astype(np.int64)
+    for bit in range(int(now.max(initial=0)).bit_length() - 1, -1, -1):
+        one = (now >> bit) & 1
+        before = np.cumsum(one) - one
+        start = np.flatnonzero(np.diff(now >> (bit + 1), prepend=-1))
+        base = np.repeat(before[start], np.diff(np.append(start, n)))
+        total += int(((before - base) * (1 - one)).sum())
+        now = now[np.argsort(now >> bit, kind="stable")]
+    return total
+
+
+def _pairs(*keys: np.ndarray) -> int:
+    _, c = np.unique(np.stack(keys, axis=1), axis=0, return_counts=True)
+    return int((c * (c - 1) // 2).sum())
+
+
 def kendall(rows: DataFrame, by: list[str], x: str, y: str, order: str) -> DataFrame:
-    """Tau-b from all pairs of a group (declared groups are small); pairs tied in both count nowhere."""
-    a = rows.select(*by, F.col(order).alias("_i"), F.col(x).alias("_x"), F.col(y).alias("_y"))
-    b = a.select(*by, F.col("_i").alias("_j"), F.col("_x").alias("_u"), F.col("_y").alias("_v"))
-    s = F.signum(F.col("_x") - F.col("_u")) * F.signum(F.col("_y") - F.col("_v"))
-    tx, ty = F.col("_x") == F.col("_u"), F.col("_y") == F.col("_v")
-    sums = a.join(b, by).where("_i < _j").groupBy(*by).agg(F.count_if(s > 0).alias("concordant"), F.count_if(s < 0).alias("discordant"), F.count_if(tx & ~ty).alias("ties_x"), F.count_if(ty & ~tx).alias("ties_y"))
+    """Tau-b of a group, counted in n log n; pairs tied in both count nowhere, and a group where one side is all tied has none (null).
+
+    A group is one task's: one of more than KENDALL_MOST rows raises. Rows with a null take no part; order is not needed to count and stays for callers.
+    """
+    out = rows.select(*by).schema
+    for name in ("concordant", "discordant", "ties_x", "ties_y"):
+        out = out.add(name, "long")
+    names = [f.name for f in out]
+
+    def count(key, t):
+        if t.num_rows > KENDALL_MOST:
+            raise ValueError(f"a group of {t.num_rows} rows: Kendall's count is for groups of up to {KENDALL_MOST}")
+        rank = lambda c: np.unique(t.column(c).to_numpy(), return_inverse=True)[1].astype(np.int64)
+        a, b = rank("_x"), rank("_y")
+        at = np.lexsort((b, a))
+        n, down = len(a), inversions(b[at])
+        tx, ty, both = _pairs(a), _pairs(b), _pairs(a, b)
+        found = (n * (n - 1) // 2 - tx - ty + both - down, down, tx - both, ty - both)
+        return pa.table([*[pa.array([k.as_py()], type=k.type) for k in key], *[pa.array([v], pa.int64()) for v in found]], names=names)
+
+    both = rows.select(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where("_x is not null and _y is not null")
+    sums = both.groupBy(*by).applyInArrow(count, out)
     c, d = F.col("concordant"), F.col("discordant")
-    return sums.withColumn("tau_b", (c - d) / F.sqrt((c + d + F.col("ties_x")).cast("double") * (c + d + F.col("ties_y"))))
+    return sums.withColumn("tau_b", F.try_divide(c - d, F.sqrt((c + d + F.col("ties_x")).cast("double") * (c + d + F.col("ties_y")))))
 
 
 def incomplete_beta(a: float, b: float, x: float) -> float:
@@ -71,6 +110,11 @@ def t_two_sided(t: float, df: float) -> float:
     return incomplete_beta(df / 2, 0.5, df / (df + t * t))
 
 
+def f_upper(f: float, df1: float, df2: float) -> float:
+    """The chance of an F at least as large."""
+    return 0.0 if math.isinf(f) else 1.0 if f <= 0 else incomplete_beta(df2 / 2, df1 / 2, df2 / (df2 + df1 * f))
+
+
 def kendall_exact_p(n: int, discordant: int) -> float:
     """Two-sided, from the number of permutations by inversions; whole numbers, no rounding before the end."""
     ways = [1]
@@ -86,7 +130,7 @@ def kendall_exact_p(n: int, discordant: int) -> float:
 
 
 def p_value(kind: str):
-    """A pandas UDF: PEARSON or SPEARMAN (r, n), SLOPE (t, n), KENDALL (tau, n, discordant, ties)."""
+    """A pandas UDF: PEARSON or SPEARMAN (r, n), FISHER (r, n), R_SQUARED (r2, n), SLOPE (t, n), F (f, df1, df2), KENDALL (tau, n, discordant, ties)."""
 
     def of_r(r: pd.Series, n: pd.Series) -> pd.Series:
         def one(a, k):
@@ -107,7 +151,26 @@ def p_value(kind: str):
 
         return pd.Series([one(*r) for r in zip(tau, n, discordant, ties, strict=True)], dtype="float64")
 
-    return F.pandas_udf({"PEARSON": of_r, "SPEARMAN": of_r, "SLOPE": of_t, "KENDALL": of_tau}[kind], "double")
+    def of_r2(r2: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(a) or k <= 2 else 0.0 if a >= 1 else f_upper(a / (1 - a) * (k - 2), 1, k - 2) for a, k in zip(r2, n, strict=True)], dtype="float64")
+
+    def of_f(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(a) or u <= 0 or v <= 0 else f_upper(a, u, v) for a, u, v in zip(f, df1, df2, strict=True)], dtype="float64")
+
+    def of_fisher(r: pd.Series, n: pd.Series) -> pd.Series:
+        def one(a, k):
+            if pd.isna(a) or k <= 3:
+                return None
+            return 0.0 if abs(a) >= 1 else math.erfc(abs(math.atanh(a)) * math.sqrt(k - 3) / math.sqrt(2))
+
+        return pd.Series([one(a, k) for a, k in zip(r, n, strict=True)], dtype="float64")
+
+    return F.pandas_udf({"PEARSON": of_r, "SPEARMAN": of_r, "FISHER": of_fisher, "R_SQUARED": of_r2, "F": of_f, "SLOPE": of_t, "KENDALL": of_tau}[kind], "double")
+
+
+def slope_p(slope: Column, se: Column, n: Column) -> Column:
+    """The slope's p; points on a line leave no residual, and p is 0."""
+    return F.when((n > 2) & slope.isNotNull() & (se <= 0), 0.0).otherwise(p_value("SLOPE")(F.try_divide(slope, se), n))
 
 
 def p_method(statistic: Column, n: Column, ties: Column) -> Column:
@@ -151,11 +214,13 @@ def calibration(ticks: DataFrame, by: list[str], px: str, value: str) -> DataFra
 
 
 def ladder(ticks: DataFrame, by: list[str], px: str, value: str, tolerance: float = 0.08) -> DataFrame:
-    """Whether labels step evenly: at least three, strictly monotone, value per pixel with a coefficient of variation within tolerance."""
+    """Whether labels step evenly: at least three, strictly monotone, value per pixel with a coefficient of variation within tolerance.
+
+    Two labels on one pixel, or labels that do not change on the whole, are no ladder and have no coefficient.
+    """
     w = Window.partitionBy(*by).orderBy(px)
     steps = ticks.withColumn("_dv", F.col(value) - F.lag(value).over(w)).withColumn("_dp", F.col(px) - F.lag(px).over(w)).where("_dp is not null")
-    rate = F.col("_dv") / F.col("_dp")
-    s = steps.groupBy(*by).agg((F.count("*") + 1).alias("labels"), (F.min("_dv") > 0).alias("_up"), (F.max("_dv") < 0).alias("_down"), F.stddev_pop(rate).alias("_s"), F.abs(F.avg(rate)).alias("_m"))
-    return s.select(*by, "labels", (F.col("_s") / F.col("_m")).alias("cv"), ((F.col("labels") >= 3) & (F.col("_up") | F.col("_down")) & (F.col("_s") / F.col("_m") <= tolerance)).alias("is_ladder"))
-
-
+    rate = F.try_divide("_dv", "_dp")
+    s = steps.groupBy(*by).agg((F.count("*") + 1).alias("labels"), (F.min("_dv") > 0).alias("_up"), (F.max("_dv") < 0).alias("_down"), (F.min("_dp") > 0).alias("_apart"), F.stddev_pop(rate).alias("_s"), F.abs(F.avg(rate)).alias("_m"))
+    cv = F.when(F.col("_apart"), F.try_divide("_s", "_m"))
+    return s.select(*by, "labels", cv.alias("cv"), ((F.col("labels") >= 3) & (F.col("_up") | F.col("_down")) & F.coalesce(cv <= tolerance, F.lit(False))).alias("is_ladder"))

@@ -22,17 +22,32 @@ def nearest_anchor(points: DataFrame, anchors: DataFrame, by: list[str], x: str,
     return both.select(*by, "_k.*", F.when(lower, F.col("_lo")).otherwise(F.col("_hi")).alias(at))
 
 
+def _with_nearest(points: DataFrame, others: DataFrame, by: list[str], x: str, at: str) -> DataFrame:
+    """by, x and the nearest of the other side, null where its group has none."""
+    return nearest_anchor(points.select(*by, x), others.select(*by, at), by, x, at, [x])
+
+
 def mutual_nearest(left: DataFrame, right: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
-    """Pairs (a, b) of a group that are each other's nearest; ties go to the smaller value. Groups are small (ticks of a panel)."""
-    pairs = left.select(*by, a).join(right.select(*by, b), by).withColumn("_d", F.abs(F.col(a) - F.col(b)))
-    ra = F.row_number().over(Window.partitionBy(*by, a).orderBy("_d", b))
-    rb = F.row_number().over(Window.partitionBy(*by, b).orderBy("_d", a))
-    return pairs.withColumn("_ra", ra).withColumn("_rb", rb).where("_ra = 1 and _rb = 1").select(*by, a, b, F.col("_d").alias("distance"))
+    """Pairs (a, b) of a group that are each other's nearest; ties go to the smaller value. One sort a side, no list of pairs."""
+    to_b = _with_nearest(left.distinct(), right.distinct(), by, a, b)
+    to_a = _with_nearest(right.distinct(), left.distinct(), by, b, a)
+    return to_b.join(to_a, [*by, a, b]).select(*by, a, b, F.abs(F.col(a) - F.col(b)).alias("distance"))
+
+
+def match_summary(left: DataFrame, right: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
+    """Of each group: pairs, what stays unpaired on either side, and the largest distance to the other side's nearest."""
+    side = lambda df, other, x, at, n: _with_nearest(df.distinct(), other.distinct(), by, x, at).groupBy(*by).agg(F.count("*").alias(n), F.max(F.abs(F.col(x) - F.col(at))).alias(f"far_{n}"))
+    both = side(left, right, a, b, "n_left").join(side(right, left, b, a, "n_right"), by, "full")
+    pairs = mutual_nearest(left, right, by, a, b).groupBy(*by).agg(F.count("*").alias("matched"), F.max("distance").alias("matched_max"))
+    out = both.join(pairs, by, "left")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    far = F.when(F.col("far_n_left").isNotNull() & F.col("far_n_right").isNotNull(), F.greatest("far_n_left", "far_n_right"))
+    return out.select(*by, n("matched").alias("matched"), (n("n_left") - n("matched")).alias("left_unmatched"), (n("n_right") - n("matched")).alias("right_unmatched"), far.alias("symmetric_max"), "matched_max")
 
 
 def overlap_share(lo1: Column, hi1: Column, lo2: Column, hi2: Column) -> Column:
-    """Common length over the shorter interval's."""
-    return F.greatest(F.least(hi1, hi2) - F.greatest(lo1, lo2), F.lit(0)) / F.least(hi1 - lo1, hi2 - lo2)
+    """Common length over the shorter interval's; nothing is shared with an interval without length."""
+    return F.coalesce(F.try_divide(F.greatest(F.least(hi1, hi2) - F.greatest(lo1, lo2), F.lit(0)), F.least(hi1 - lo1, hi2 - lo2)), F.lit(0.0))
 
 
 def overlap_runs(rows: DataFrame, by: list[str], lo: str, hi: str) -> DataFrame:

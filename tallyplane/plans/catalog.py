@@ -521,9 +521,16 @@ def bundle_gate(spark, d):
     return B.check_bundle(figures, grids, units, values, ranges).groupBy("scope", "code").agg(F.count("*").alias("n"))
 
 
+def _load():
+    """The modules that add their queries here."""
+    from . import gates, ledgers  # noqa: F401
+
+
 def queries() -> dict:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(SQL)
