@@ -20,6 +20,7 @@ from ..operators import relate as R
 from ..operators import review as V
 from ..operators import rules as Q
 from ..operators import tiers as T
+from . import run as P
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -243,14 +244,13 @@ def caption_panels(spark, d):
     return p.select("doc_id", F.array_join("l", ",").alias("letters"), C.panel_confidence(F.size("l")).alias("confidence"))
 
 
-@query("""WITH p AS (SELECT conv_id, count(DISTINCT turn) AS pages FROM conversations GROUP BY 1 HAVING count(DISTINCT turn) >= 3), k AS (SELECT conv_id, lower(split_part(trim(text), ' ', 1)) AS key, count(DISTINCT turn) AS seen FROM conversations WHERE trim(text) <> '' GROUP BY 1, 2)
-SELECT k.conv_id, key, seen, pages FROM k JOIN p USING (conv_id) WHERE seen >= greatest(2, ceil(0.5 * pages))""")
+@query(r"""WITH p AS (SELECT conv_id, count(DISTINCT turn) AS pages FROM conversations GROUP BY 1 HAVING count(DISTINCT turn) >= 3), k AS (SELECT conv_id, turn, trim(lower(regexp_replace(regexp_replace(role || ' ' || turn || '. ' || split_part(trim(text), ' ', 1), '[0-9]+', '#', 'g'), '[^\p{L}#]+', ' ', 'g'))) AS key FROM conversations UNION ALL SELECT conv_id, turn, role || ' #' FROM conversations),
+s AS (SELECT conv_id, key, count(DISTINCT turn) AS seen FROM k WHERE key <> '' GROUP BY 1, 2) SELECT s.conv_id, key, seen, pages FROM s JOIN p USING (conv_id) WHERE seen >= greatest(2, ceil(0.5 * pages))""")
 def page_furniture(spark, d):
-    """Openings that recur on at least half of a conversation's turns, as running heads do on pages."""
-    c = t(spark, d, "conversations").where(F.trim("text") != "")
-    pages = t(spark, d, "conversations").groupBy("conv_id").agg(F.countDistinct("turn").alias("pages")).where("pages >= 3")
-    k = c.groupBy("conv_id", F.lower(F.split_part(F.trim("text"), F.lit(" "), F.lit(1))).alias("key")).agg(F.countDistinct("turn").alias("seen"))
-    return k.join(pages, "conv_id").where(F.col("seen") >= F.greatest(F.lit(2), F.ceil(0.5 * F.col("pages")))).select("conv_id", "key", "seen", "pages")
+    """Heads and feet (role and turn, with and without the first word) that recur on at least half of a conversation's turns, as on pages."""
+    c = t(spark, d, "conversations").select("conv_id", "turn", F.concat(F.col("role"), F.lit(" "), F.col("turn").cast("string"), F.lit(". "), F.split_part(F.trim("text"), F.lit(" "), F.lit(1))).alias("head"), F.concat(F.col("role"), F.lit(" "), F.col("turn").cast("string")).alias("foot"))
+    c = c.select("conv_id", "turn", F.explode(F.array("head", "foot")).alias("head"))
+    return I.furniture(c, "conv_id", "turn", "head").select("conv_id", "key", "seen", "pages")
 
 
 @query("""WITH g AS (SELECT user_id, event_id, ts, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER w <= 86400000000 THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
@@ -304,11 +304,12 @@ def interval_overlap_runs(spark, d):
     return R.overlap_runs(o, ["o_custkey"], "lo", "hi").groupBy("o_custkey", F.col("run").cast("long").alias("run")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH s AS (SELECT o_custkey, count(*) AS n, bool_or(o_orderstatus = 'P') AS pending, bool_and(o_orderstatus = 'F') AS done FROM orders GROUP BY 1) SELECT c_custkey, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'NOT_RUN' WHEN done THEN 'COVERED' WHEN pending THEN 'PARTIAL' ELSE 'OPEN' END AS coverage FROM customer LEFT JOIN s ON c_custkey = o_custkey""")
+@query("""WITH s AS (SELECT o_custkey AS p, bool_or(o_orderstatus = 'F') AS passed FROM orders GROUP BY 1) SELECT c_custkey AS source_panel, CASE WHEN c_mktsegment = 'BUILDING' THEN 'NOT_DATA' ELSE 'EXTRACT' END AS disposition, CASE WHEN c_mktsegment = 'BUILDING' THEN 'NOT_TARGET' WHEN passed IS NULL THEN 'NOT_RUN' WHEN passed THEN 'COVERED' ELSE 'QUEUED' END AS coverage FROM customer LEFT JOIN s ON p = c_custkey""")
 def coverage_ledger(spark, d):
-    s = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"), F.bool_or(F.col("o_orderstatus") == "P").alias("pending"), F.bool_and(F.col("o_orderstatus") == "F").alias("done"))
-    state = F.when(F.col("n").isNull(), "NOT_RUN").when(F.col("done"), "COVERED").when(F.col("pending"), "PARTIAL").otherwise("OPEN")
-    return t(spark, d, "customer").select("c_custkey").join(s, "c_custkey", "left").select("c_custkey", F.coalesce("n", F.lit(0).cast("long")).alias("n"), state.alias("coverage"))
+    """Customers stand for panels of the inventory, orders for panels that were run."""
+    states = t(spark, d, "orders").select(F.col("o_custkey").alias("source_panel"), F.when(F.col("o_orderstatus") == "F", "AUTO_PASS").otherwise("MANUAL_POINT_READ").alias("state"))
+    panels = t(spark, d, "customer").select(F.col("c_custkey").alias("source_panel"), F.when(F.col("c_mktsegment") == "BUILDING", "NOT_DATA").otherwise("EXTRACT").alias("disposition"))
+    return P.coverage(panels, states)
 
 
 @query("""SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'UNKNOWN_ANSWER' ELSE 'MISSING_ANSWER' END AS problem FROM (SELECT DISTINCT doc_id AS k FROM documents WHERE doc_id % 10 <> 0) a FULL JOIN (SELECT DISTINCT doc_id AS k FROM labels) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL""")
@@ -360,10 +361,12 @@ def blame_inheritance(spark, d):
     return Q.blame(p, u)
 
 
-@query("""SELECT o_custkey AS panel, o_orderkey AS reviewer, reason IS NULL AS approved, reason FROM (SELECT o.*, CASE WHEN count(*) OVER (PARTITION BY o_custkey) > 1 THEN 'DUPLICATE_DECISION' WHEN c_custkey IS NULL THEN 'UNKNOWN_PANEL' WHEN o_orderkey % 5 = 0 THEN 'UNREGISTERED_REVIEWER' WHEN o_orderkey % 3 = 0 THEN 'REVIEWER_NOT_HUMAN' WHEN o_orderpriority <> '1-URGENT' THEN 'STALE_SUBJECT' WHEN o_orderstatus <> 'F' THEN 'NOT_APPROVED' END AS reason FROM orders o LEFT JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 4 = 0)""")
+@query("""SELECT panel, o_orderkey AS reviewer, reason IS NULL AS approved, reason FROM (SELECT o.*, CASE WHEN count(*) OVER (PARTITION BY panel) > 1 THEN 'DUPLICATE_DECISION' WHEN c_custkey IS NULL THEN 'UNKNOWN_PANEL' WHEN o_orderkey % 5 = 0 THEN 'UNREGISTERED_REVIEWER' WHEN o_orderkey % 3 = 0 THEN 'REVIEWER_NOT_HUMAN' WHEN o_orderpriority <> '1-URGENT' THEN 'STALE_SUBJECT' WHEN o_orderstatus <> 'F' THEN 'NOT_APPROVED' END AS reason FROM (SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN o_custkey ELSE o_orderkey END AS panel FROM orders) o LEFT JOIN customer ON c_custkey = panel)""")
 def approval(spark, d):
-    o = t(spark, d, "orders").where("o_orderkey % 4 = 0")
-    reviews = o.select(F.col("o_custkey").alias("panel"), F.col("o_orderkey").alias("reviewer"), F.when(F.col("o_orderstatus") == "F", "approve").otherwise("reject").alias("decision"), F.col("o_orderpriority").alias("digest"), F.lit("2020-01-01T00:00:00").alias("reviewed_at"))
+    o = t(spark, d, "orders")
+    # a review of the order's own panel, or of its customer's, which several orders share
+    panel = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_custkey")).otherwise(F.col("o_orderkey"))
+    reviews = o.select(panel.alias("panel"), F.col("o_orderkey").alias("reviewer"), F.when(F.col("o_orderstatus") == "F", "approve").otherwise("reject").alias("decision"), F.col("o_orderpriority").alias("digest"), F.lit("2020-01-01T00:00:00").alias("reviewed_at"))
     panels = t(spark, d, "customer").select(F.col("c_custkey").alias("panel"), F.lit("1-URGENT").alias("digest"))
     registry = o.where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("reviewer"), F.when(F.col("o_orderkey") % 3 == 0, "AGENT").otherwise("HUMAN").alias("kind"))
     return Q.approvals(reviews, panels, registry, "2030-01-01 00:00:00")
@@ -429,10 +432,10 @@ def supplied_values(spark, d):
     return v.select(F.col("series").cast("long").alias("l_orderkey"), F.col("position").cast("int").alias("l_linenumber"), F.round("mean", 6).alias("mean"), F.round("dispersion", 6).alias("dispersion"))
 
 
-@query("SELECT p.b AS panel, s.t AS series, z.z AS position FROM (SELECT DISTINCT p_brand AS b FROM part) p LEFT JOIN (SELECT DISTINCT p_brand AS b, p_type AS t FROM part WHERE p_size > 20) s USING (b) LEFT JOIN (SELECT DISTINCT p_brand AS b, p_size AS z FROM part WHERE p_size <= 10) z USING (b) WHERE s.t IS NOT NULL OR z.z IS NOT NULL")
+@query("SELECT p.b AS panel, s.t AS series, z.z AS position FROM (SELECT DISTINCT p_brand AS b FROM part) p LEFT JOIN (SELECT DISTINCT p_brand AS b, p_type AS t FROM part WHERE p_size > 20) s USING (b) LEFT JOIN (SELECT DISTINCT p_brand AS b, p_size AS z FROM part WHERE p_size <= 20) z USING (b) WHERE s.t IS NOT NULL OR z.z IS NOT NULL")
 def declared_cells(spark, d):
     p = t(spark, d, "part").withColumnRenamed("p_brand", "panel")
-    return E.declared_cells(p.where("p_size > 20").select("panel", F.col("p_type").alias("series")), p.where("p_size <= 10").select("panel", F.col("p_size").alias("position")))
+    return E.declared_cells(p.where("p_size > 20").select("panel", F.col("p_type").alias("series")), p.where("p_size <= 20").select("panel", F.col("p_size").alias("position")))
 
 
 @query("""WITH v AS (SELECT l_suppkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2) SELECT l_suppkey, l_linenumber, CASE WHEN l_linenumber = 1 AND l_suppkey % 2 = 0 THEN 7 WHEN l_suppkey % 3 = 0 THEN 5 ELSE n END AS n FROM v""")
@@ -443,11 +446,12 @@ def own_sample_sizes(spark, d):
     return E.own_n(v, own).select(F.col("series").alias("l_suppkey"), F.col("position").alias("l_linenumber"), "n")
 
 
-@query("""WITH p AS (SELECT o_custkey AS unit, count(*) AS c FROM orders WHERE o_orderkey % 9 = 0 GROUP BY 1), u AS (SELECT c_custkey AS unit FROM customer WHERE c_custkey % 2 = 0)
+@query("""WITH p AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN o_custkey ELSE o_orderkey END AS unit, count(*) AS c FROM orders GROUP BY 1), u AS (SELECT c_custkey AS unit FROM customer)
 SELECT coalesce(p.unit, u.unit) AS unit, CASE WHEN c IS NULL THEN 'UNIT_WITHOUT_PANEL' WHEN u.unit IS NULL THEN 'PANEL_NAMES_UNKNOWN_UNIT' ELSE 'UNIT_SHARED_BY_PANELS' END AS code FROM p FULL JOIN u ON p.unit = u.unit WHERE c IS NULL OR u.unit IS NULL OR c > 1""")
 def panel_unit_bijection(spark, d):
-    panels = t(spark, d, "orders").where("o_orderkey % 9 = 0").select(F.col("o_orderkey").alias("panel"), F.col("o_custkey").alias("unit"))
-    return E.bijection_problems(panels, t(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("unit")))
+    unit = F.when(F.col("o_orderkey") % 5 == 0, F.col("o_custkey")).otherwise(F.col("o_orderkey"))
+    panels = t(spark, d, "orders").select(F.col("o_orderkey").alias("panel"), unit.alias("unit"))
+    return E.bijection_problems(panels, t(spark, d, "customer").select(F.col("c_custkey").alias("unit")))
 
 
 @query("""SELECT o_orderkey AS unit, CASE WHEN o_custkey % 11 = 0 THEN 'QC_FAILED' WHEN o_custkey % 2 = 1 OR c_custkey IS NULL THEN 'NOT_APPROVED' WHEN o_custkey % 14 = 0 THEN 'INFERENCE_SET_INCOMPLETE' WHEN o_orderpriority = '5-LOW' THEN 'MODEL_ESTIMATE_ONLY' WHEN o_orderpriority = '2-HIGH' AND o_orderkey % 3 = 0 THEN 'INFERENCE_REFUSED' END AS reason FROM orders LEFT JOIN customer ON c_custkey = o_custkey""")
@@ -478,13 +482,14 @@ def inference_manifest(spark, d):
     o = t(spark, d, "orders")
     tier = F.when(F.col("o_orderpriority") == "2-HIGH", "R3").when(F.col("o_orderpriority") == "3-MEDIUM", "R2").otherwise("R0")
     v = o.select(F.col("o_custkey").alias("panel"), F.col("o_orderkey").alias("unit"), F.col("o_orderstatus").alias("cell"), F.lit("A").alias("identity_method"), F.lit("B").alias("value_method"), F.lit("").alias("dispersion_method"), F.col("o_orderkey").alias("value"), tier.alias("tier"))
-    return V.inference_ids(v).select("value", "inference_id")
+    return V.inference_ids(v, canonical=False).select("value", "inference_id")
 
 
-@query("""SELECT a.l_orderkey AS k, upper(trim(a.l_returnflag)) AS first, upper(trim(b.l_returnflag)) AS second FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2 WHERE a.l_returnflag <> b.l_returnflag""")
+@query("""WITH f AS (SELECT l_orderkey AS k, max(l_returnflag) AS d FROM lineitem WHERE l_linenumber % 2 = 1 GROUP BY 1), s AS (SELECT l_orderkey AS k, max(l_returnflag) AS d FROM lineitem WHERE l_linenumber % 2 = 0 GROUP BY 1) SELECT f.k, upper(trim(f.d)) AS first, upper(trim(s.d)) AS second FROM f JOIN s ON f.k = s.k WHERE f.d <> s.d""")
 def reviewer_disagreement(spark, d):
     li = t(spark, d, "lineitem").withColumnRenamed("l_orderkey", "k")
-    return V.disagreements(li.where("l_linenumber = 1"), li.where("l_linenumber = 2"), "k", "l_returnflag")
+    side = lambda odd: li.where(F.col("l_linenumber") % 2 == odd).groupBy("k").agg(F.max("l_returnflag").alias("l_returnflag"))
+    return V.disagreements(side(1), side(0), "k", "l_returnflag")
 
 
 @query(r"""WITH c AS (SELECT doc_id, 'Fig. ' || (doc_id % 9) || '. ' || text || chr(10) || 'Figure ' || (doc_id % 7) || ' tail' || chr(10) || 'Fig. 4A. panel' AS t FROM documents), l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS text, unnest(range(len(string_split(t, chr(10))))) AS line FROM c),
