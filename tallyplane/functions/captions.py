@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .outcomes import without_group_labels
+
 #: Wording by which a caption is routed, tried in this order.
 NOT_DATA = (r"schemat", r"diagram", r"protocol", r"study design", r"timeline", r"apparatus", r"experimental setup", r"example of", r"representative", r"typical", r"photograph", r"illustrat", r"flow ?chart", r"anatomic(?:al)? view", r"echographic view", r"ultrasound image", r"\bMRI\b image", r"sample (?:trace|record|tracing)", r"raw (?:trace|signal)", r"\bdrawings?\b", r"\bline art\b", r"\bmodel of (?:the |a |an |our )?(?:apparatus|device|chair|centrifuge|seat|rig|couch|sled|capsule|tilt table|harness|hardware|equipment|facility mock-?up)\b")
 BINARY = (r"incidence", r"proportion of (?:subjects|participants|patients)", r"percentage of (?:subjects|participants|patients)", r"number of (?:subjects|participants) who", r"\bpie chart\b", r"event rate", r"\bfailure to complete\b", r"\bprevalence\b")
@@ -23,9 +29,33 @@ def caption_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(joined, r"\s+", " "))
 
 
+#: Short names of outcomes as axes carry them, and those that need their outcome in prose to count.
+PARAMETERS = {
+    "HR": "Heart rate", "MAP": "Mean arterial pressure", "BP": "Blood pressure", "SAP": "Systolic blood pressure", "DAP": "Diastolic blood pressure", "ABP": "Blood pressure", "SBP": "Systolic blood pressure", "DBP": "Diastolic blood pressure",
+    "SV": "Stroke volume", "SI": "Stroke index", "CO": "Cardiac output", "CI": "Cardiac index", "TPR": "Total peripheral resistance", "SVR": "Total peripheral resistance", "MSNA": "MSNA", "BRS": "Baroreflex sensitivity", "RMSSD": "HRV RMSSD", "SDNN": "HRV SDNN",
+    "PNN50": "HRV pNN50", "MCAV": "Cerebral blood flow velocity", "CBFV": "Cerebral blood flow velocity", "BPMCA": "Blood pressure", "CVRI": "Cerebrovascular resistance index", "PV": "Plasma volume", "VI": "Minute ventilation", "VE": "Minute ventilation", "VT": "Tidal volume",
+    "VO2": "Oxygen uptake", "VCO2": "Carbon dioxide output", "FR": "Respiratory frequency", "PCO2": "Carbon dioxide partial pressure", "SPO2": "Oxygen saturation",
+}
+AMBIGUOUS = {"CI": (r"cardiac index",), "PV": (r"plasma volume",), "CO": (r"cardiac output",), "SI": (r"stroke index",), "PP": (r"pulse pressure",), "BP": (r"blood pressure", r"\bBP\b")}
+
+
+def parameter_tokens(cap: Column) -> Column:
+    """The parameter names that a folded caption exposes, in order of first mention; an ambiguous one counts only where its outcome is named in prose."""
+    words = F.array_distinct(F.transform(F.regexp_extract_all(cap, F.lit(r"\b([A-Za-z][A-Za-z0-9]{0,4})\b"), 1), F.upper))
+    known = F.filter(words, lambda w: w.isin(*PARAMETERS))
+    refused = F.filter(F.array(*[F.when(~any_of(cap, p), t) for t, p in AMBIGUOUS.items()]), lambda x: x.isNotNull())
+    return F.array_except(known, refused)
+
+
 def route(c: Column, states_dispersion: Column, target_terms: tuple[str, ...] = ()) -> Column:
+    """What a caption's figure is; with target terms, whether its outcome is wanted: in prose (who and when left out), or by the names on its panels."""
     cap = caption_text(c)
-    end = F.when(any_of(cap, target_terms), "DIGITIZE").otherwise("NO_TARGET_OUTCOME") if target_terms else F.lit("DIGITIZE")
+    end = F.lit("DIGITIZE")
+    if target_terms:
+        bare = without_group_labels(cap)
+        wanted = [t for t, name in PARAMETERS.items() if any(re.search(x, name, re.I) for x in target_terms)]
+        partial = F.arrays_overlap(parameter_tokens(bare), F.array(*[F.lit(t) for t in wanted]).cast("array<string>"))
+        end = F.when(any_of(bare, target_terms), "DIGITIZE").when(partial, "PARTIAL_PANEL_TARGET").otherwise("NO_TARGET_OUTCOME")
     return (
         F.when(any_of(cap, NOT_DATA), F.when(states_dispersion, "MIXED_CAPTION_NOT_DECIDABLE").otherwise("NOT_DATA"))
         .when(any_of(cap, BINARY), "BINARY_EVENT_NOT_MEAN")
@@ -61,13 +91,80 @@ def panel_confidence(n: Column) -> Column:
     return F.when(n >= 2, "CAPTION_ENUMERATES").when(n == 1, "SINGLE_KEY_ONLY").otherwise("NO_KEY")
 
 
+def spreads_named(cap: Column) -> Column:
+    """The spreads that a folded text names, joined by commas. One search finds every mention, and what it found tells which."""
+    hits = F.array_join(F.transform(F.regexp_extract_all(cap, F.lit("(?i)" + "|".join(f"({p})" for _, p in SPREADS)), 0), F.lower), "\u0001")
+    sep = "(?:^|\u0001)"
+    end = "(?:\u0001|$)"
+    return F.concat_ws(",", *[F.when(hits.rlike(f"(?i){sep}(?:{p}){end}"), n) for n, p in SPREADS])
+
+
 def errorbar_definition(c: Column) -> Column:
     """The one spread that is named; AMBIGUOUS for several, PM_UNNAMED for a bare plus-minus sign, else UNSTATED. A named SEM is not also an SE."""
     cap = caption_text(c)
-    sem = any_of(cap, (SPREADS[0][1],))
-    rest = F.regexp_replace(cap, "(?i)(?:" + SPREADS[0][1] + ")", " ")
-    named = F.filter(F.array(F.when(sem, "SEM"), *[F.when(any_of(rest, (p,)), n) for n, p in SPREADS[1:]]), lambda x: x.isNotNull())
-    return F.when(F.size(named) == 1, named[0]).when(F.size(named) > 1, "AMBIGUOUS").when(F.contains(cap, F.lit("±")), "PM_UNNAMED").otherwise("UNSTATED")
+    named = spreads_named(cap)
+    return F.when(F.contains(named, F.lit(",")), "AMBIGUOUS").when(named != "", named).when(F.contains(cap, F.lit("±")), "PM_UNNAMED").otherwise("UNSTATED")
+
+
+#: What opens an exception, what says that it is about figures, what opens a sentence about boxes, and its pairs.
+EXCEPTION = r"\b(?:except(?:ing)?|besides|apart\s+from|other\s+than)\b"
+FIGURE_SCOPE = r"graphical\s+representations?|graphical\s+data|\bfigures?\b|\bgraphs?\b|\bplots?\b"
+BOX_OPENS = r"box\s*-?\s*(?:and\s*-?\s*whiskers?\s*)?plots?\s+(?:indicate|show|shows|represent|represents|display|displays|are|give)\b"
+BOX_WORDS = {"CENTER": ("MEDIAN", (r"\bmedians?\b",)), "BOX": ("P25_P75", (r"25\s?th\s+percentile", r"75\s?th\s+percentile")), "WHISKER": ("MIN_MAX", (r"\bminimum\b|\bmin\b", r"\bmaximum\b|\bmax\b"))}
+LIGATURES = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st"}
+
+
+def plain_text(c: Column) -> Column:
+    """Control characters to blanks, ligatures to letters, white space single."""
+    t = F.regexp_replace(F.coalesce(c, F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " ")
+    for glyph, letters in LIGATURES.items():
+        t = F.replace(t, F.lit(glyph), F.lit(letters))
+    return F.trim(F.regexp_replace(t, r"\s+", " "))
+
+
+def joined_lines(lines: Column) -> Column:
+    """Lines as a paragraph; a line that ends in a hyphen is a word cut in two, unless a blank stands before it."""
+    return F.aggregate(lines, F.lit(""), lambda acc, x: F.when(acc == "", x).when(F.endswith(acc, F.lit("-")) & ~F.endswith(acc, F.lit(" -")), F.concat(F.left(acc, F.length(acc) - 1), x)).otherwise(F.concat(acc, F.lit(" "), x)))
+
+
+def _tail(text: Column, opens: str) -> Column:
+    """What follows the first opening, null where there is none."""
+    at = F.regexp_extract(text, "(?is)^(.*?(?:" + opens + "))", 1)
+    return F.when(at != "", F.substring(text, F.length(at) + 1, F.length(text)))
+
+
+def figure_exception(c: Column) -> Column:
+    """The one spread that an exception clause gives to figures ("means ± SD, except graphs, which use SE"), blank where none does."""
+    tail = _tail(plain_text(c), EXCEPTION)
+    named = spreads_named(tail)
+    about = any_of(F.regexp_replace(tail, r"(\w)-\s+(\w)", "$1$2"), (FIGURE_SCOPE,))
+    return F.when(about & (named != "") & ~F.contains(named, F.lit(",")), named).otherwise("")
+
+
+def box_elements(c: Column) -> Column:
+    """What a caption says that the parts of its box plots are: pairs of words decide, one of a pair says nothing. Null where no sentence opens."""
+    tail = _tail(plain_text(c), BOX_OPENS)
+    parts = []
+    for part, (meaning, words) in BOX_WORDS.items():
+        said = any_of(tail, (words[0],))
+        for w in words[1:]:
+            said = said & any_of(tail, (w,))
+        parts.append(F.when(said, F.concat(F.lit(part + "="), F.lit(meaning))))
+    return F.when(tail.isNotNull(), F.concat_ws(";", *parts))
+
+
+def figure_number(c: Column) -> Column:
+    """The identity of a printed figure number: compatibility forms folded, its label taken off, a panel's letter kept."""
+    return F.regexp_replace(F.regexp_replace(F.upper(F.trim(compatible(c))), r"^(?:FIG(?:URE)?\.?|图|圖)\s*", ""), r"[^0-9A-Z]", "")
+
+
+def compatible(c: Column) -> Column:
+    """Unicode's NFKC form, which no built-in function gives."""
+
+    def fold(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+    return F.pandas_udf(fold, "string")(c)
 
 
 def caption_confidence(body_length: Column, repeats: Column, lower_first: Column, nothing_above: Column) -> Column:

@@ -151,3 +151,8 @@ def orcid_valid(c: Column) -> Column:
     total = F.aggregate(F.transform(F.sequence(F.lit(1), F.lit(15)), lambda i: F.substring(digits, i, F.lit(1)).try_cast("int")), F.lit(0), lambda a, d: (a + d) * 2)
     check = (12 - total % 11) % 11
     return c.rlike(r"^[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9X]$") & (F.substring(digits, 16, 1) == F.when(check == 10, "X").otherwise(check.cast("string")))
+
+
+def canonical_json(fields: dict[str, Column]) -> Column:
+    """A JSON object with its keys in order and every value as text, so that no two rows share it; a null is JSON's null, unlike a blank."""
+    return F.to_json(F.struct(*[fields[k].cast("string").alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .grid import expected_cells, later_duplicates, level_order, union_all
+from .grid import expected_cells, first_rows, later_duplicates, level_order, union_all
 from .rules import Rule, apply, dual_rules, unit_rules, upper
 
 #: Vocabularies of figures and values.
@@ -250,7 +250,7 @@ def check_bundle(figures: DataFrame, grids: DataFrame, units: DataFrame, values:
         at(level_order(sound.where(order == F.floor(order)).withColumn("_o", order), ["Grid_ID", "Factor_Name"], "_o").where("not contiguous"), "grid", "BAD_LEVEL_ORDER", F.col("Factor_Name"), "Grid_ID"),
     ]
 
-    first_u = u.where("Unit_ID <> ''").dropDuplicates(["Unit_ID"])
+    first_u = first_rows(u.where("Unit_ID <> ''"), ["Unit_ID"])
     own_n = v.where(~_blank("N_Cell")).select("Unit_ID").distinct().withColumn("_own", F.lit(True))
     spreads = v.groupBy("Unit_ID").agg(F.bool_and(upper("Dispersion_Method") == BOUND).alias("_bound"))
     u2 = u.join(own_n, "Unit_ID", "left").join(spreads, "Unit_ID", "left")
@@ -267,7 +267,7 @@ def check_bundle(figures: DataFrame, grids: DataFrame, units: DataFrame, values:
     levels = sound.groupBy("Grid_ID").agg(F.collect_set("Factor_Name").alias("_factors"), F.collect_set(F.concat_ws("=", "Factor_Name", "Factor_Level")).alias("_levels"))
     limits = (ranges.select(F.upper("outcome").alias("_oc"), F.col("low").cast("double").alias("u_low"), F.col("high").cast("double").alias("u_high")) if ranges is not None else None)
     wide = first_u.select(F.col("Unit_ID"), *[F.col(c).alias("u_" + c) for c in UNIT_COLUMNS if c != "Unit_ID"])
-    wide = wide.join(F.broadcast(limits), upper("u_Outcome_Variable") == F.col("_oc"), "left") if limits is not None else wide.withColumns({"u_low": F.lit(None).cast("double"), "u_high": F.lit(None).cast("double")})
+    wide = wide.join(S.broadcast_if_small(limits), upper("u_Outcome_Variable") == F.col("_oc"), "left") if limits is not None else wide.withColumns({"u_low": F.lit(None).cast("double"), "u_high": F.lit(None).cast("double")})
     placed = v.join(wide, "Unit_ID").join(levels, F.trim("u_Grid_ID") == F.col("Grid_ID"), "left").join(own_n, "Unit_ID", "left")
     cell = S.parse_cell_key(F.col("Cell_Key"))
     placed = placed.withColumn("_cell", cell).withColumn("_key", S.cell_key(F.col("_cell")))

@@ -26,6 +26,12 @@ def expected_count(levels: DataFrame, grid: str, factor: str, level: str) -> Dat
     return n.groupBy(grid).agg(F.aggregate(F.collect_list("_n"), F.lit(1).cast("long"), lambda a, b: a * b).alias("n_cells"))
 
 
+def first_rows(rows: DataFrame, keys: list[str], line: str = "_line") -> DataFrame:
+    """Of the rows with one key the first by line (numbers by value), or by all columns where there is no line: the same row on every run."""
+    order = [F.col(line).try_cast("long"), F.col(line).cast("string")] if line in rows.columns else []
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in keys]), F.struct(*order, *[F.col(c).cast("string") for c in rows.columns])).alias("_first")).select(*keys, "_first.*") if len(rows.columns) > len(keys) else rows.distinct()
+
+
 def missing(expected: DataFrame, observed: DataFrame, on: list[str]) -> DataFrame:
     return expected.join(observed.select(*on).distinct(), on, "left_anti")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from . import measure as E
-from .grid import later_duplicates, union_all
+from .grid import first_rows, later_duplicates, union_all
 from .rules import Rule, apply, upper
 
 SAFE_ID = r"^[A-Za-z0-9][A-Za-z0-9._-]{0,127}$"
@@ -23,13 +23,18 @@ COLOUR_MARKS = ("LINE_COLOR", "BAR_COLOR", "SCATTER")
 PANEL_MODES = ("", "AUTO", "MANUAL")
 READER_KINDS = ("AI_AGENT", "PERSON")
 END_BASES = ("", "CAP", "BOUND", "NONE")
-ROBOTS = ("AI", "BOT", "AGENT", "GPT", "LLM", "MODEL", "ASSISTANT", "SCRIPT", "SYSTEM", "AUTOMATED", "ROBOT", "PIPELINE")
+#: Names that are no person's.
+ROBOTS = ("AI", "BOT", "LLM", "GPT", "CHATGPT", "CODEX", "CLAUDE", "COPILOT", "GEMINI", "LLAMA", "ROBOT", "SCRIPT", "AUTO", "AUTOMATED", "AUTOMATION", "MACHINE", "AGENT", "ASSISTANT", "MODEL", "SYSTEM", "PIPELINE", "TOOL")
 
 
 def _t(c: str) -> Column:
     return F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
 
 
+def _line_of(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == "_line"]
+
+
 def _at(df: DataFrame, scope: str, code: Column | str, key: str = "_line", detail: Column | None = None) -> DataFrame:
     c = F.lit(code) if isinstance(code, str) else code
     return df.select(F.lit(scope).alias("scope"), F.col(key).cast("string").alias("row_id"), c.alias("code"), (detail if detail is not None else F.lit("")).cast("string").alias("detail"))
@@ -138,11 +143,11 @@ def own_n_problems(own: DataFrame, panels: DataFrame, series: DataFrame, positio
 
 def reading_problems(readings: DataFrame, panels: DataFrame, series: DataFrame, positions: DataFrame, units: DataFrame, reviewers: DataFrame, as_of: str) -> DataFrame:
     """Each supplied reading names a cell that a manual panel declares, once, by somebody, inside the panel, with its ends on their sides and nearest to its own position."""
-    p = panels.select(_t("Panel_ID").alias("_p"), _t("Unit_ID").alias("_u"), upper("Panel_Mode").alias("_mode"), E.box(F.concat_ws(",", "Panel_X0", "Panel_X1", "Panel_Y0", "Panel_Y1")).alias("_box"), _t("Raster_SHA256").alias("_sha")).dropDuplicates(["_p"])
-    st = units.select(_t("Unit_ID").alias("_u"), upper("Statistic_Type").alias("_st")).dropDuplicates(["_u"])
+    p = first_rows(panels.select(*_line_of(panels), _t("Panel_ID").alias("_p"), _t("Unit_ID").alias("_u"), upper("Panel_Mode").alias("_mode"), E.box(F.concat_ws(",", "Panel_X0", "Panel_X1", "Panel_Y0", "Panel_Y1")).alias("_box"), _t("Raster_SHA256").alias("_sha")), ["_p"]).drop("_line")
+    st = first_rows(units.select(*_line_of(units), _t("Unit_ID").alias("_u"), upper("Statistic_Type").alias("_st")), ["_u"]).drop("_line")
     s = series.select(_t("Panel_ID").alias("_p"), _t("Series_ID").alias("_s")).distinct().withColumn("_hs", F.lit(True))
-    q = positions.select(_t("Panel_ID").alias("_p"), _t("Position_ID").alias("_q"), S.as_number(F.col("X_Pixel")).alias("_ax")).dropDuplicates(["_p", "_q"])
-    people = reviewers.select(_t("Reviewer_ID").alias("_who"), upper("Reviewer_Record_Type").alias("_rt")).dropDuplicates(["_who"])
+    q = first_rows(positions.select(*_line_of(positions), _t("Panel_ID").alias("_p"), _t("Position_ID").alias("_q"), S.as_number(F.col("X_Pixel")).alias("_ax")), ["_p", "_q"]).drop("_line")
+    people = first_rows(reviewers.select(*_line_of(reviewers), _t("Reviewer_ID").alias("_who"), upper("Reviewer_Record_Type").alias("_rt")), ["_who"]).drop("_line")
     anchors = q.groupBy("_p").agg(F.collect_list("_ax").alias("_all"))
     r = readings.withColumns({"_id": _t("Reading_ID"), "_p": _t("Panel_ID"), "_s": _t("Series_ID"), "_q": _t("Position_ID"), "_who": _t("Read_By"), "_kind": upper("Reader_Kind"), "_basis": upper("End_Basis")})
     r = r.withColumn("_n", F.row_number().over(Window.partitionBy("_id").orderBy("_line")))

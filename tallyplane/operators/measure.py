@@ -54,7 +54,7 @@ def supplied_values(readings: DataFrame, panels: DataFrame) -> DataFrame:
     """
     cal = panels.withColumn("_t", ticks(F.col("y_ticks"))).select("panel", "y_scale", F.when(F.col("_t").isNotNull(), axis_of(F.col("_t"), F.col("y_scale"))).alias("_a"))
     at = lambda c: S.calibrated(F.col(c), F.col("_a.slope"), F.col("_a.intercept"), F.col("y_scale"))
-    r = readings.join(F.broadcast(cal), "panel", "left").withColumns({"mean": at("y_px"), "_u": at("upper_px"), "_l": at("lower_px")})
+    r = readings.join(S.broadcast_if_small(cal), "panel", "left").withColumns({"mean": at("y_px"), "_u": at("upper_px"), "_l": at("lower_px")})
     spread = S.half_spread(F.col("mean"), F.col("_u"), F.col("_l"))
     method = F.when(F.col("_u").isNotNull() & F.col("_l").isNotNull(), "BOTH_ENDS").when(F.col("_u").isNotNull() | F.col("_l").isNotNull(), "ONE_END").otherwise("NO_DISPERSION")
     return r.select("panel", "series", "position", "mean", spread.alias("dispersion"), method.alias("spread_from"), F.least("_u", "_l").alias("lower"), F.greatest("_u", "_l").alias("upper"))

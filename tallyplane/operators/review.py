@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import canonical_json
 from .grid import union_all
 from .tiers import CELL_CONFIRMATION, FINALIZABLE
 
@@ -24,10 +25,15 @@ def missing_artifacts(queue: DataFrame, artifacts: DataFrame) -> DataFrame:
     return q.where(F.size("missing") > 0).select("panel", "missing")
 
 
-def inference_ids(values: DataFrame) -> DataFrame:
-    """Cells that a person must confirm, each with an id made of its content: any change of it asks anew."""
+def inference_ids(values: DataFrame, canonical: bool = True) -> DataFrame:
+    """Cells that a person must confirm, each with an id made of its content: any change of it asks anew.
+
+    The content is canonical JSON, so no two contents share an id. Ids recorded before were made of joined fields, where a bar in a field or a
+    blank for a null may give two rows one id: canonical=False makes those, to read old records only.
+    """
     fields = ("panel", "unit", "cell", "identity_method", "value_method", "dispersion_method", "value")
-    return values.where(F.col("tier").isin(*CELL_CONFIRMATION, "R2")).withColumn("inference_id", F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields]), 256))
+    text = canonical_json({c: F.col(c) for c in fields}) if canonical else F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields])
+    return values.where(F.col("tier").isin(*CELL_CONFIRMATION, "R2")).withColumn("inference_id", F.sha2(text, 256))
 
 
 def blocked_by_method(values: DataFrame) -> DataFrame:

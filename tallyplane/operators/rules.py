@@ -178,5 +178,13 @@ def approvals(reviews: DataFrame, panels: DataFrame, registry: DataFrame, as_of:
 
 
 def digest(rows: DataFrame, by: list[str], line: Column, name: str = "digest") -> DataFrame:
-    """SHA-256 over a group's lines, whatever their order came to be."""
+    """SHA-256 over a group's sorted lines, as subjects were recorded at first: the group stands in one row, so it is for small groups; else set_digest."""
     return rows.groupBy(*by).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias(name))
+
+
+def set_digest(rows: DataFrame, by: list[str], line: Column, name: str = "digest") -> DataFrame:
+    """One digest for a group's lines whatever their order: the number of lines and four sums of 60-bit parts of their SHA-256, so no group is gathered in one row."""
+    row = F.sha2(line, 256)
+    parts = [F.sum(F.conv(F.substring(row, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")) for i in range(4)]
+    sums = rows.groupBy(*by).agg(F.count("*").alias("_n"), *[p.alias(f"_p{i}") for i, p in enumerate(parts)])
+    return sums.select(*by, F.sha2(F.concat_ws("|", F.col("_n").cast("string"), *[F.col(f"_p{i}").cast("string") for i in range(4)]), 256).alias(name))

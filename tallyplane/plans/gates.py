@@ -126,7 +126,7 @@ CASE i % 6 WHEN 0 THEN '' WHEN 1 THEN 'FILL_EDGE' WHEN 2 THEN 'TOP' ELSE 'OUTLIN
 CASE i % 20 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'DONE' WHEN 2 THEN 'UNLISTED_PANELS_FOUND' ELSE 'MATCHED' END AS Panel_Reconciliation_Status, CASE i % 22 WHEN 0 THEN '' WHEN 1 THEN '0' WHEN 2 THEN '5' ELSE '4' END AS Observed_Panel_Count, CASE i % 26 WHEN 0 THEN '' WHEN 1 THEN '2.5' ELSE '4' END AS Worklist_Panel_Count, CASE i % 40 WHEN 2 THEN 'MAP; PAP' WHEN 3 THEN 'PAP / map' WHEN 4 THEN 'HR' ELSE '' END AS Unlisted_Panels,
 '70' AS Mean_R1, CASE i % 19 WHEN 0 THEN '90' WHEN 1 THEN '' ELSE '70.5' END AS Mean_R2, CASE WHEN i % 28 = 0 THEN '' ELSE '4' END AS Dispersion_R1, CASE i % 27 WHEN 0 THEN '9' ELSE '4.1' END AS Dispersion_R2, CASE WHEN i % 30 = 0 THEN '' ELSE 'E2' END AS Extractor_2,
 '100' AS Axis_Calib_X1_Pixel, CASE WHEN i % 41 = 0 THEN '100.0' ELSE '300' END AS Axis_Calib_X2_Pixel, '400' AS Axis_Calib_Y1_Pixel, CASE WHEN i % 43 = 0 THEN '' ELSE '20' END AS Axis_Calib_Y2_Pixel
-FROM (SELECT o_orderkey AS i, o_custkey % 60 AS c FROM orders) x"""
+FROM (SELECT o_orderkey AS i, o_custkey AS c FROM orders) x"""
 
 _M, _D, _L, _H, _N = (_num(c) for c in ("Mean", "Dispersion_Value", "Errorbar_Lower", "Errorbar_Upper", "N_Outcome"))
 _SEEN, _LISTED = _num("Observed_Panel_Count"), _num("Worklist_Panel_Count")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,11 +42,38 @@ def load_manifests(spark: SparkSession, folder: str, required: dict[str, list[st
 
 
 def verified(spark: SparkSession, path: str, sha256: str) -> DataFrame:
-    """The lines of a file whose own bytes have the digest: one read serves both."""
+    """The physical lines of a file whose own bytes have the digest: one read serves both."""
     f = spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("digest"), F.decode("content", "utf-8").alias("text"))
     return f.where(F.col("digest") == sha256.lower()).select("path", F.posexplode(F.split("text", "\r?\n")).alias("line", "text"))
 
 
+def verified_rows(spark: SparkSession, path: str, sha256: str, columns: list[str] | None = None) -> DataFrame:
+    """The rows of a CSV file whose own bytes have the digest, every cell as text: the bytes that were hashed are those that are parsed.
+
+    No row comes of a file with another digest. columns are the file's, in its order, and are read from its first line where they are not given.
+    """
+    f = spark.read.format("binaryFile").load(path).where(F.sha2("content", 256) == sha256.lower())
+    if columns is None:
+        head = f.select(F.decode("content", "utf-8").alias("t")).first()
+        if head is None:
+            return spark.createDataFrame([], "path string")
+        columns = next(csv.reader(io.StringIO(head["t"].lstrip("\ufeff"), newline="")))
+
+    def parse(files):
+        for path_, content in zip(files[0], files[1], strict=True):
+            rows = csv.reader(io.StringIO(bytes(content).decode("utf-8-sig"), newline=""))
+            next(rows, None)
+            for line, r in enumerate(rows):
+                yield path_, line + 2, [*r, *[""] * (len(columns) - len(r))][: len(columns)]
+
+    def run(batches):
+        for b in batches:
+            rows = list(parse((b.column(0).to_pylist(), b.column(1).to_pylist())))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), *[pa.array([r[2][k] for r in rows], pa.string()) for k in range(len(columns))]], names=["path", "_line", *columns])
+
+    return f.select("path", "content").mapInArrow(run, ", ".join(["path string", "_line long", *[f"`{c}` string" for c in columns]]))
+
+
 def hashes(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """name and sha256 of a folder's files."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"))
@@ -79,24 +109,44 @@ def unknown_keys(plans: DataFrame, json: str, allowed: list[str]) -> DataFrame:
 
 
 def write_outputs(outputs: dict[str, DataFrame], folder: str, stamp: DataFrame, fmt: str = "parquet") -> None:
-    """All tables to a staging folder, then renamed into place, the stamp last: a reader that sees the stamp sees all."""
+    """All tables to a staging folder, then renamed into place, the stamp last: a reader that sees the stamp sees all.
+
+    What stood there is moved aside first and deleted at the end; where a move fails, it is put back.
+    """
     spark = stamp.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(conf)
-    staging = f"{folder}/.staging-{uuid.uuid4().hex}"
+    staging, aside = f"{folder}/.staging-{uuid.uuid4().hex}", f"{folder}/.before-{uuid.uuid4().hex}"
+    names, kept, new = ["run_stamp", *outputs], [], []
     try:
         for name, df in [*outputs.items(), ("run_stamp", stamp)]:
             df.write.format(fmt).option("header", True).mode("overwrite").save(f"{staging}/{name}")
-        fs.delete(path(f"{folder}/run_stamp"), True)
-        for name in [*outputs, "run_stamp"]:
-            fs.delete(path(f"{folder}/{name}"), True)
-            if not fs.rename(path(f"{staging}/{name}"), path(f"{folder}/{name}")):
-                raise OSError(f"{name} could not be promoted")
+        fs.mkdirs(path(aside))
+        try:
+            for name in names:  # the stamp goes first and comes last
+                if fs.exists(path(f"{folder}/{name}")):
+                    _rename(fs, path, f"{folder}/{name}", f"{aside}/{name}")
+                    kept.append(name)
+            for name in reversed(names):
+                _rename(fs, path, f"{staging}/{name}", f"{folder}/{name}")
+                new.append(name)
+        except Exception:
+            for name in new:
+                fs.delete(path(f"{folder}/{name}"), True)
+            for name in reversed(kept):
+                _rename(fs, path, f"{aside}/{name}", f"{folder}/{name}")
+            raise
+        fs.delete(path(aside), True)
     finally:
         fs.delete(path(staging), True)
 
 
+def _rename(fs, path, old: str, new: str) -> None:
+    if not fs.rename(path(old), path(new)):
+        raise OSError(f"{old} could not be moved to {new}")
+
+
 def withdraw(spark: SparkSession, folder: str) -> None:
     """Takes the stamp away: the run no longer counts as done."""
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/run_stamp")
