@@ -82,7 +82,7 @@ LONG_WORD = 64
 #: Bytes merged at once in a long word, besides the lookahead.
 WINDOW = 4096
 #: Words kept; beyond, a task starts anew.
-CACHE = 500_000
+CACHE = 600_000
 _RANK = 1 << 20
 _NONE, _ID, _HIGH = _RANK << 20, _RANK - 1, [b << 8 for b in range(256)]
 
@@ -298,7 +298,7 @@ class Encoder:
         self.m = merges
         self.words = _Cache(lambda w: array("i", self.word(w)).tobytes())
         #: What stands between spaces, with the space before it.
-        self.spaced = _Cache(lambda p: b"".join([self.words[w] for w in self.split(" " + p)]))
+        self.spaced = _Cache(self._piece)
 
     def word(self, word: str) -> list[int]:
         raw = word.encode()
@@ -307,6 +307,15 @@ class Encoder:
         s = WordStream(self.m)
         return [*s.feed(raw), *s.finish()]
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a space and what follows it; letters alone are one word, and so are letters before one last symbol."""
+        if piece.isalpha():
+            return array("i", self.word(" " + piece)).tobytes()
+        last = piece[-1:]
+        if last.isascii() and not last.isalnum() and not last.isspace() and piece[:-1].isalpha():
+            return self.spaced[piece[:-1]] + self.words[last]
+        return b"".join([self.words[w] for w in self.split(" " + piece)])
+
     def split(self, text: str) -> list[str]:
         seen = for_splitting(text)
         return WORDS.findall(text) if seen is text else [text[m.start() : m.end()] for m in WORDS.finditer(seen)]
