@@ -93,7 +93,7 @@ def panel_confidence(n: Column) -> Column:
 
 def spreads_named(cap: Column) -> Column:
     """The spreads that a folded text names, joined by commas. One search finds every mention, and what it found tells which."""
-    hits = F.array_join(F.transform(F.regexp_extract_all(cap, F.lit("(?i)" + "|".join(f"({p})" for _, p in SPREADS)), 0), F.lower), "\u0001")
+    hits = F.array_join(F.regexp_extract_all(cap, F.lit("(?i)" + "|".join(f"({p})" for _, p in SPREADS)), 0), "\u0001")
     sep = "(?:^|\u0001)"
     end = "(?:\u0001|$)"
     return F.concat_ws(",", *[F.when(hits.rlike(f"(?i){sep}(?:{p}){end}"), n) for n, p in SPREADS])

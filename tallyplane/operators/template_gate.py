@@ -36,15 +36,21 @@ OPTIONAL = ("Posture_Condition", "Timepoint_Label", "Timepoint_Days", "Bar_Top_D
 
 
 def _n(name: str) -> Column:
-    return S.as_number(F.col(name))
+    return F.col("_n_" + name)
 
 
 def _blank(name: str) -> Column:
-    return S.is_blank(F.col(name))
+    return F.col("_b_" + name)
+
+
+def prepared(rows: DataFrame) -> DataFrame:
+    """rows with _n_ (its number) and _b_ (whether it is blank) of every text cell: worked out once a cell, whatever the number of rules that ask."""
+    cells = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string" and f.name != "_line"]
+    return rows.select("*", *[S.as_number(F.col(c)).alias("_n_" + c) for c in cells], *[S.is_blank(F.col(c)).alias("_b_" + c) for c in cells])
 
 
 def _numbers(names) -> list[Rule]:
-    return [Rule("NON_NUMERIC_VALUE", S.is_bad_number(F.col(c)), F.lit(c)) for c in names]
+    return [Rule("NON_NUMERIC_VALUE", ~_blank(c) & _n(c).isNull(), F.lit(c)) for c in names]
 
 
 def _whole(x: Column) -> Column:
@@ -302,7 +308,7 @@ def check_template(rows: DataFrame, line: str = "_line", ranges: DataFrame | Non
     if lost:
         return rows.sparkSession.createDataFrame([("table", "-", "SCHEMA_INCOMPLETE", ", ".join(lost))], "scope string, row_id string, code string, detail string")
     more = MEAN_PROVENANCE + OPTIONAL if kind == "mean" else OPTIONAL
-    full = rows.withColumns({c: F.lit(None).cast("string") for c in more if c not in have})
+    full = prepared(rows.withColumns({c: F.lit(None).cast("string") for c in more if c not in have}))
     if kind != "mean":
         return apply(full, association_rules(require_dual) if kind == "association" else event_rules(require_dual), "values", line)
     full = O.with_range(full, "Outcome_Variable", ranges)

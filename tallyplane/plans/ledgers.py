@@ -9,9 +9,12 @@ from ..functions import scalars as S
 from ..operators import association as A
 from ..operators import axes as X
 from ..operators import ledger as L
+from ..operators import matching as M
 from ..operators import relate as R
 from ..operators import review as V
 from ..operators import rules as Q
+from ..operators import tiers as T
+from ..sources import manifests as N
 from .catalog import query, t
 
 # --- axes: brands stand for axes, sizes for labels' pixels
@@ -325,6 +328,27 @@ def continuous_faults(spark, d):
     return Q.apply(g, rules, "values", "row").select("scope", "row_id", "code")
 
 
+@query("""WITH RECURSIVE p AS (SELECT DISTINCT l_suppkey, l_quantity AS x FROM lineitem), k AS (SELECT l_suppkey, min(x) AS x FROM p GROUP BY 1 UNION ALL SELECT l_suppkey, x FROM (SELECT k.l_suppkey, min(p.x) AS x FROM k JOIN p ON p.l_suppkey = k.l_suppkey AND p.x > k.x + 3 GROUP BY k.l_suppkey, k.x)) SELECT l_suppkey, x FROM k""")
+def thinned_points(spark, d):
+    """Positions more than three apart, kept from the left."""
+    return M.thin(t(spark, d, "lineitem").select("l_suppkey", F.col("l_quantity").cast("double").alias("x")).distinct(), "l_suppkey", "x", 3.0)
+
+
+@query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'LINE_COLOR' WHEN 1 THEN 'BAR_COLOR' ELSE 'BOX_VIOLIN' END AS route, CASE event_id % 4 WHEN 0 THEN 'DIRECT_CONNECTED_CAP' WHEN 1 THEN 'UNSTEMMED_CAP' WHEN 2 THEN 'NO_DISPERSION' ELSE 'DIRECT_BOX_GEOMETRY' END AS dispersion_method FROM events
+WHERE NOT ((event_id % 3 = 0 AND event_id % 4 IN (0, 1)) OR (event_id % 3 = 1 AND event_id % 4 IN (0, 2)) OR (event_id % 3 = 2 AND event_id % 4 = 3))""")
+def spread_contract(spark, d):
+    e = F.col("event_id")
+    route = F.when(e % 3 == 0, "LINE_COLOR").when(e % 3 == 1, "BAR_COLOR").otherwise("BOX_VIOLIN")
+    method = F.when(e % 4 == 0, "DIRECT_CONNECTED_CAP").when(e % 4 == 1, "UNSTEMMED_CAP").when(e % 4 == 2, "NO_DISPERSION").otherwise("DIRECT_BOX_GEOMETRY")
+    return T.outside_spread_contract(t(spark, d, "events").select("event_id", route.alias("route"), method.alias("dispersion_method"))).select("event_id", "route", "dispersion_method")
+
+
+@query("SELECT event_id, k AS key FROM (SELECT event_id, unnest(json_keys(props)) AS k FROM events) WHERE k <> 'page'")
+def unknown_keys(spark, d):
+    """Keys of the events' properties that nobody declared."""
+    return N.unknown_keys(t(spark, d, "events"), "props", ["page"], keep=["event_id"])
+
+
 # --- digests
 
 _JSON = """'{"cell":"' || o_orderstatus || '","dispersion_method":null,"identity_method":"A|B","panel":"' || o_custkey || '","unit":"' || o_orderkey || '","value":"' || o_orderkey || '","value_method":""}'"""

@@ -103,9 +103,9 @@ def rasters(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("image").load(path).select("image.origin", "image.height", "image.width", "image.nChannels", "image.data")
 
 
-def unknown_keys(plans: DataFrame, json: str, allowed: list[str]) -> DataFrame:
-    """Keys of a JSON object that nobody declared."""
-    return plans.select(F.explode(F.array_except(F.json_object_keys(json), F.array(*[F.lit(k) for k in allowed]))).alias("key"))
+def unknown_keys(plans: DataFrame, json: str, allowed: list[str], keep: list[str] = ()) -> DataFrame:
+    """Keys of a JSON object that nobody declared, beside the columns to keep."""
+    return plans.select(*keep, F.explode(F.array_except(F.json_object_keys(json), F.array(*[F.lit(k) for k in allowed]))).alias("key"))
 
 
 def write_outputs(outputs: dict[str, DataFrame], folder: str, stamp: DataFrame, fmt: str = "parquet") -> None:

@@ -131,3 +131,17 @@ def test_broadcast_only_if_small(spark):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     small = spark.range(100_000)
     assert "strategy=broadcast" in plan(spark.range(10).join(S.broadcast_if_small(small), "id")) and "strategy=broadcast" not in plan(spark.range(10).join(S.broadcast_if_small(small, 50), "id"))
+
+
+def test_envelopes_refuse_what_is_not_finite(spark):
+    df = spark.createDataFrame([("p", 1.0, 2.0), ("p", 2.0, 3.0), ("q", float("nan"), 1.0)], "panel string, x double, y double")
+    got = {r["panel"]: (r["finite"], r["document"]) for r in M.envelope(df, "panel").collect()}
+    assert got == {"p": (True, '[{"x":1.0,"y":2.0},{"x":2.0,"y":3.0}]'), "q": (False, None)}
+
+
+def test_sessions_end_at_a_pause(spark):
+    from tallyplane.streaming.resume import gap_sessions
+
+    rows = spark.createDataFrame([("u", 0), ("u", 50), ("u", 500), ("v", 0)], "k string, s long").select("k", F.timestamp_seconds("s").alias("at"))
+    got = gap_sessions(rows, "k", "at", "2 minutes", "1 hour").collect()
+    assert sorted((r["k"], r["n"]) for r in got) == [("u", 1), ("u", 2), ("v", 1)]
