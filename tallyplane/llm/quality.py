@@ -2,13 +2,13 @@
 
 Statistics of a text (characters, words, lines) are the only inputs. Boosted trees on a bounded
 labelled sample give paths; each path is a conjunctive rule over the statistics. A lasso logistic regression over the
-rules (and over the statistics' ranks) keeps few of them, and the kept rules are compiled into one Spark column
+rules keeps few of them, and the kept rules are compiled into one Spark column
 expression, so that scoring is a sum of CASE expressions inside code generation.
 
 The fit sees at most ``sample`` labelled rows (a hash of the key decides which); everything is scored.
 Rows whose held_out flag is true are never learnt from. Null and empty texts are scored as empty ones. With
 no labelled row of both classes the score is the share of label 1 (0.5 with no row).
-Repeated rows are scored alike. labels, lang, source and doc_id are never inputs.
+Repeated rows are scored alike, an empty table gives an empty one, other columns do not matter. labels, lang, source and doc_id are never inputs.
 """
 
 from __future__ import annotations

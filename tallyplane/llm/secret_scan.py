@@ -15,7 +15,6 @@ a repeated result, an empty table an empty one. Columns of the input other than
 from __future__ import annotations
 
 import bisect
-import hashlib
 import math
 import re
 from collections import Counter
