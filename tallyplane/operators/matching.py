@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def least_cost(left: list[float], right: list[float], tolerance: float) -> list[tuple[int, int]]:
@@ -59,28 +63,35 @@ def match(marks: DataFrame, truth: DataFrame, by: str, a: str, b: str, tolerance
 
 def assign_greedily(scores: DataFrame, by: str, caption: str, region: str, score: str, margin: float) -> DataFrame:
     """One region for each caption, the highest score first. AMBIGUOUS if its two best free regions are within margin, TAKEN if others hold all, NO_CANDIDATE without any."""
-
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values([score, caption, region], ascending=[False, True, True])
-        out, used = {}, set()
-        for c in rows[caption]:
-            if c in out:
-                continue
-            mine = rows[(rows[caption] == c) & rows[region].notna()]
-            free = mine[~mine[region].isin(used)]
-            if mine.empty:
-                out[c] = (None, "NO_CANDIDATE")
-            elif free.empty:
-                out[c] = (None, "TAKEN")
-            elif len(free) > 1 and free[score].iloc[0] - free[score].iloc[1] <= margin:
-                out[c] = (None, "AMBIGUOUS")
+    t = dict(scores.dtypes)
+    arrow = to_arrow_schema(scores.select(by, caption, region).schema.add("state", "string"))
+
+    def one(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        last = lambda x: (x is None or x != x, 0 if x is None or x != x else x)
+        rows = list(zip(*[table.column(c).to_pylist() for c in (score, caption, region)]))
+        rows.sort(key=lambda r: (last(None if r[0] is None else -r[0]), last(r[1]), last(r[2])))
+        # the rows of a caption, best first; captions come in the order of their best row
+        mine: dict = {}
+        for s, c, r in rows:
+            at = mine.setdefault(c, [])
+            if c is not None and r is not None:
+                at.append((s, r))
+        regions, states, used = [], [], set()
+        for at in mine.values():
+            free = list(islice(((s, r) for s, r in at if r not in used), 2))
+            if not free:
+                regions.append(None)
+                states.append("TAKEN" if at else "NO_CANDIDATE")
+            elif len(free) > 1 and None not in (free[0][0], free[1][0]) and free[0][0] - free[1][0] <= margin:
+                regions.append(None)
+                states.append("AMBIGUOUS")
             else:
-                out[c] = (free[region].iloc[0], "ASSIGNED")
-                used.add(out[c][0])
-        return pd.DataFrame({by: [key[0]] * len(out), caption: list(out), region: [r for r, _ in out.values()], "state": [s for _, s in out.values()]})
+                regions.append(free[0][1])
+                states.append("ASSIGNED")
+                used.add(free[0][1])
+        return pa.Table.from_pydict({by: [key[0].as_py()] * len(mine), caption: list(mine), region: regions, "state": states}, schema=arrow)
 
-    t = dict(scores.dtypes)
-    return scores.groupBy(by).applyInPandas(one, f"{by} {t[by]}, {caption} {t[caption]}, {region} {t[region]}, state string")
+    return scores.select(by, caption, region, score).groupBy(by).applyInArrow(one, f"{by} {t[by]}, {caption} {t[caption]}, {region} {t[region]}, state string")
 
 
 def thin(points: DataFrame, by: str, x: str, distance: float) -> DataFrame:

@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,42 @@ def test_greedy(spark):
     assert {r["c"]: r["state"] for r in got.collect()} == {"c1": "ASSIGNED", "c2": "TAKEN", "c3": "AMBIGUOUS", "c4": "NO_CANDIDATE"}
 
 
+def test_greedy_page_of_many_captions():
+    """A page's time grows with its rows: captions were each looked up among all rows of the page."""
+    import pyarrow as pa
+
+    seen = {}
+
+    class Rows:
+        dtypes = [("page", "bigint"), ("c", "bigint"), ("r", "bigint"), ("s", "double")]
+
+        def select(self, *names):
+            from pyspark.sql.types import LongType, StructField, StructType
+
+            self.schema = StructType([StructField(n, LongType()) for n in names if n != "s"])
+            return self
+
+        def groupBy(self, by):
+            return self
+
+        def applyInArrow(self, f, schema):
+            seen["f"] = f
+
+    M.assign_greedily(Rows(), "page", "c", "r", "s", 0.5)
+    n = 30_000
+    page = pa.table({"page": [7] * 2 * n, "c": [i % n for i in range(2 * n)], "r": [i // 2 for i in range(2 * n)], "s": [float(i) for i in range(2 * n)]})
+    began = time.process_time()
+    got = seen["f"]((pa.scalar(7),), page).to_pylist()
+    assert time.process_time() - began < 10
+    assert len(got) == n and got[0] == {"page": 7, "c": n - 1, "r": n - 1, "state": "ASSIGNED"}
+
+
+def test_greedy_keeps_wide_keys(spark):
+    rows = [(1, 1, 2**60 + 1, 0.9), (1, 2, None, 0.5), (1, None, 3, 0.4), (1, 3, 2**60 + 1, None)]
+    got = M.assign_greedily(spark.createDataFrame(rows, "page long, c long, r long, s double"), "page", "c", "r", "s", 0.05)
+    assert {(r["c"], r["r"], r["state"]) for r in got.collect()} == {(1, 2**60 + 1, "ASSIGNED"), (2, None, "NO_CANDIDATE"), (None, None, "NO_CANDIDATE"), (3, None, "TAKEN")}
+
+
 def test_nearest(spark):
     p = spark.createDataFrame([("g", 1, 0.0), ("g", 2, 5.0), ("g", 3, 9.0), ("h", 4, 1.0)], "g string, id int, x double")
     a = spark.createDataFrame([("g", 4.0), ("g", 6.0)], "g string, at double")
