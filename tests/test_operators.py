@@ -136,6 +136,34 @@ def test_greedy_keeps_wide_keys(spark):
     assert {(r["c"], r["r"], r["state"]) for r in got.collect()} == {(1, 2**60 + 1, "ASSIGNED"), (2, None, "NO_CANDIDATE"), (None, None, "NO_CANDIDATE"), (3, None, "TAKEN")}
 
 
+def test_matching_of_many_equal_values(spark):
+    """Equal values are counted, so a group's task does not grow with its rows."""
+    rows = spark.range(40_000).select(F.lit("p").alias("g"), (F.col("id") % 10 + 1).cast("double").alias("x"), "id")
+    odd = [("p", None), ("p", float("nan")), ("q", 1.0)]
+    left = rows.where("id % 4 = 1").select("g", F.col("x").alias("a")).unionByName(spark.createDataFrame(odd, "g string, a double"))
+    right = rows.where("id % 4 = 2").select("g", (F.col("x") + 2).alias("b"))
+    began = time.perf_counter()
+    got = M.match(left, right, "g", "a", "b", 2.0).groupBy("g", "a", "b").count().collect()
+    assert time.perf_counter() - began < 60
+    # 2, 4, 6, 8 and 10 on either side, 2,000 each
+    assert sum(r["count"] for r in got) == 10_000 and sum(r["count"] * abs(r["a"] - r["b"]) for r in got) == 10_000
+    assert {r["g"] for r in got} == {"p"}
+
+
+def test_matching_agrees_with_every_choice():
+    r = random.Random(11)
+    for _ in range(150):
+        a, b = [float(r.randint(0, 6)) for _ in range(r.randint(0, 5))], [float(r.randint(0, 6)) for _ in range(r.randint(0, 5))]
+        tolerance, best = r.choice([0, 1, 2, 3]), (0, 0.0)
+        for k in range(min(len(a), len(b)), 0, -1):
+            costs = [sum(abs(x - y) for x, y in zip(p, q)) for p in itertools.combinations(a, k) for q in itertools.permutations(b, k) if all(abs(x - y) <= tolerance for x, y in zip(p, q))]
+            if costs:
+                best = (k, min(costs))
+                break
+        got = M.least_cost(a, b, tolerance)
+        assert (len(got), sum(abs(a[i] - b[j]) for i, j in got)) == best and all(abs(a[i] - b[j]) <= tolerance for i, j in got)
+
+
 def test_nearest(spark):
     p = spark.createDataFrame([("g", 1, 0.0), ("g", 2, 5.0), ("g", 3, 9.0), ("h", 4, 1.0)], "g string, id int, x double")
     a = spark.createDataFrame([("g", 4.0), ("g", 6.0)], "g string, at double")
