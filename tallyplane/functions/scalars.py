@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,12 @@ ASSOCIATIONS = {
     "BETA": "SLOPE",
 }
 TIERS = ("R0", "R1", "R2", "R3", "R4")
-NUMBER = r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?$"
+#: The spellings as one pattern, so that a cell is looked at once: whole between white space, or with separators anywhere.
+BLANK = r"^({0}({1}){0}|\s*+({2})\s*+)\z".format(r"[\s./\\_-]*+", "|".join(r"[\s./\\_-]*+".join(w) for w in NULL_COMPACT), "|".join(re.escape(w) for w in NULL_SPELLINGS))
+NUMBER = r"^\s*+[+-]?(?:{0}\.?(?:{0})?|\.{0})(?:[eE][+-]?{0})?\s*+\z".format(r"[0-9]++(?:_[0-9]++)*+")
+#: What a blank and what a number can start with: cells that start otherwise need no pattern.
+BLANK_STARTS = ("", *" \t\n\x0b\f\r./\\_-", *sorted({x for w in (*NULL_SPELLINGS, *NULL_COMPACT) for x in (w[:1], w[:1].lower())} - {*"./\\_-", ""}))
+NUMBER_STARTS = tuple(" \t\n\x0b\f\r+-.0123456789")
 
 
 #: Rows of a table that may be broadcast.
@@ -50,15 +57,23 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def in_small_methods(c: Column) -> Column:
+    """c as it is. Whole-stage code holds a projection in one method, which the JIT leaves alone beyond 8,000 bytes and Java refuses beyond 64 KB.
+
+    A higher-order function keeps the projection that it stands in out of whole-stage code; Spark then compiles it in small methods.
+    """
+    return F.get(F.transform(F.array(c), lambda x: x), 0)
+
+
 def folded(c: Column) -> Column:
     return F.upper(F.trim(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"^\s+|\s+$", "")))
 
 
 def is_blank(c: Column) -> Column:
     """Null, not finite, or one of the null spellings."""
-    s = folded(c)
-    compact = F.regexp_replace(s, r"[\s./\\_-]", "")
-    return s.isin(*NULL_SPELLINGS) | compact.isin(*NULL_COMPACT) | s.isin("INFINITY", "-INFINITY") & (F.typeof(c).isin("double", "float"))
+    raw = F.coalesce(c.cast("string"), F.lit(""))
+    s = F.upper(raw)
+    return F.substring(raw, 1, 1).isin(*BLANK_STARTS) & s.rlike(BLANK) | s.isin("INFINITY", "-INFINITY") & (F.typeof(c).isin("double", "float"))
 
 
 def only_space(c: Column) -> Column:
@@ -69,9 +84,9 @@ def only_space(c: Column) -> Column:
 
 def as_number(c: Column) -> Column:
     """A finite double, or null for anything else. A trailing type letter is no number; digit groups joined by an underscore are."""
-    s = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
-    v = F.when(s.rlike(NUMBER), F.regexp_replace(s, "_", "").try_cast("double"))
-    return F.when((F.abs(v) < float("inf")), v)
+    s = c.cast("string")
+    v = F.replace(s, F.lit("_"), F.lit("")).try_cast("double")
+    return F.when(F.substring(s, 1, 1).isin(*NUMBER_STARTS) & s.rlike(NUMBER), F.when(F.abs(v) < float("inf"), v))
 
 
 def is_bad_number(c: Column) -> Column:

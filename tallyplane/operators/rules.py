@@ -23,6 +23,8 @@ TRANSFORMATIONS = ("UNTRANSFORMED", "LOG10", "LN", "LOG2", "SQRT", "RECIPROCAL",
 SHAPES = ("SYMMETRIC", "RIGHT_SKEWED", "LEFT_SKEWED", "UNKNOWN")
 BAR_TOPS = ("OUTLINE_CENTER", "FILL_EDGE", "MARKER_CENTER", "NOT_A_BAR", "FILL_ONLY")
 AXIS_SCALES = ("LINEAR", "LOG")
+#: So many rules fit one generated method that the JIT still compiles.
+FEW = 8
 
 
 @dataclass(frozen=True)
@@ -35,8 +37,15 @@ class Rule:
 def apply(table: DataFrame, rules: list[Rule], scope: str, row: str) -> DataFrame:
     """(scope, row_id, code, detail) for every rule that holds of a row; a condition that is null does not hold."""
     hits = [F.when(r.when, F.struct(F.lit(r.code).alias("code"), F.coalesce(r.detail, F.lit("")).alias("detail") if r.detail is not None else F.lit("").alias("detail"))) for r in rules]
-    # exploded whole and then filtered: unlike a filter within the array, both stay in generated code
-    each = table.select(F.col(row).cast("string").alias("row_id"), F.explode(F.array(*hits)).alias("_p")).where("_p is not null")
+    row_id = F.col(row).cast("string")
+    if len(rules) <= FEW:
+        # exploded whole and then filtered: unlike a filter within the array, both stay in generated code
+        each = table.select(row_id.alias("row_id"), F.explode(F.array(*hits)).alias("_p"))
+    else:
+        # a projection of small methods before explode, which would interpret the rules or take them all into one method; the outer form,
+        # as for the other Spark adds a filter by the array's size that works every rule out again (the array is never empty)
+        each = table.select(S.in_small_methods(row_id).alias("row_id"), F.array(*hits).alias("_ps")).select("row_id", F.explode_outer("_ps").alias("_p"))
+    each = each.where("_p is not null")
     return each.select(F.lit(scope).alias("scope"), "row_id", "_p.code", "_p.detail")
 
 

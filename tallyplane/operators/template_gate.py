@@ -43,10 +43,11 @@ def _blank(name: str) -> Column:
     return F.col("_b_" + name)
 
 
-def prepared(rows: DataFrame) -> DataFrame:
+def prepared(rows: DataFrame, line: str = "_line") -> DataFrame:
     """rows with _n_ (its number) and _b_ (whether it is blank) of every text cell: worked out once a cell, whatever the number of rules that ask."""
     cells = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string" and f.name != "_line"]
-    return rows.select("*", *[S.as_number(F.col(c)).alias("_n_" + c) for c in cells], *[S.is_blank(F.col(c)).alias("_b_" + c) for c in cells])
+    kept = [S.in_small_methods(F.col(c)).alias(c) if c == line else F.col(c) for c in rows.columns]
+    return rows.select(*kept, *[S.as_number(F.col(c)).alias("_n_" + c) for c in cells], *[S.is_blank(F.col(c)).alias("_b_" + c) for c in cells])
 
 
 def _numbers(names) -> list[Rule]:
@@ -302,13 +303,14 @@ def unit_problems(rows: DataFrame) -> DataFrame:
 def check_template(rows: DataFrame, line: str = "_line", ranges: DataFrame | None = None, require_dual: bool = False, **options) -> DataFrame:
     """(scope, row_id, code, detail) of a filled template. Which one it is, its columns tell; none that fits is SCHEMA_INCOMPLETE."""
     have = set(rows.columns)
+    rows = rows.withColumn(line, S.in_small_methods(F.col(line))) if line in have else rows  # what the caller selects is as wide
     kind = next((k for k, need in (("mean", set(MEAN_REQUIRED)), ("association", {"Association_Value", "N_Pairs"}), ("event", {"Events", "N_at_Risk"})) if need <= have), None)
     need = {"mean": MEAN_REQUIRED, "association": ASSOCIATION_REQUIRED + ASSOCIATION_DIGITIZED, "event": EVENT_REQUIRED + EVENT_DIGITIZED, None: MEAN_REQUIRED}[kind]
     lost = [c for c in need if c not in have]
     if lost:
         return rows.sparkSession.createDataFrame([("table", "-", "SCHEMA_INCOMPLETE", ", ".join(lost))], "scope string, row_id string, code string, detail string")
     more = MEAN_PROVENANCE + OPTIONAL if kind == "mean" else OPTIONAL
-    full = prepared(rows.withColumns({c: F.lit(None).cast("string") for c in more if c not in have}))
+    full = prepared(rows.withColumns({c: F.lit(None).cast("string") for c in more if c not in have}), line)
     if kind != "mean":
         return apply(full, association_rules(require_dual) if kind == "association" else event_rules(require_dual), "values", line)
     full = O.with_range(full, "Outcome_Variable", ranges)

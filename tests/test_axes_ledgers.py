@@ -17,6 +17,7 @@ from tallyplane.operators import ledger as L
 from tallyplane.operators import relate as R
 from tallyplane.operators import review as V
 from tallyplane.operators import template_gate as K
+from tallyplane.plans import catalog
 from tallyplane.sources import manifests as M
 
 
@@ -145,3 +146,32 @@ def test_sessions_end_at_a_pause(spark):
     rows = spark.createDataFrame([("u", 0), ("u", 50), ("u", 500), ("v", 0)], "k string, s long").select("k", F.timestamp_seconds("s").alias("at"))
     got = gap_sessions(rows, "k", "at", "2 minutes", "1 hour").collect()
     assert sorted((r["k"], r["n"]) for r in got) == [("u", 1), ("u", 2), ("v", 1)]
+
+
+def method_sizes(spark, df):
+    """Bytes of the largest method of each piece of whole-stage code; -1 where it did not compile."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    pieces = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return [pieces.apply(i)._3().maxMethodCodeSize() for i in range(pieces.size())]
+
+
+@pytest.mark.parametrize("name", ["mean_template"])
+def test_template_rules_are_compiled(spark, sf, name):
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # the JIT compiles no method of 8,000 bytes or more, and Java none of 64 KB
+        sizes = method_sizes(spark, catalog.queries()[name](spark, sf))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    assert sizes and all(0 < n < 8000 for n in sizes), sizes
+
+
+def test_blank_and_number_spellings(spark):
+    blank = [f"{a}{w}{b}" for w in S.NULL_SPELLINGS for a in ("", " \t", "\u000b") for b in ("", "\n ", "\r")] + [w.lower() for w in S.NULL_SPELLINGS] + ["-/".join(w) + "_ " for w in S.NULL_COMPACT]
+    full = ["N A B", "NOT", "0", "—-", "없 음", "\u00a0", "NA" + " " * 20000 + "x", " " * 20000 + "x"]
+    got = spark.createDataFrame([(v, v in blank) for v in blank + full], "v string, want boolean").select("v", "want", S.is_blank(F.col("v")).alias("b"), S.as_number(F.col("v")).alias("n")).collect()
+    assert [r["v"] for r in got if r["b"] != r["want"]] == [] and [r["v"] for r in got if r["n"] is not None] == ["0"]
+    numbers = {"\u000b1_0.5_0e1_0\n": 1.05e11, "+.5": 0.5, "1e999": None, "1_": None, "1__0": None, "_1": None, "1.\u0085": None, "12" + " " * 20000 + "x": None, "1f": None}
+    got = spark.createDataFrame([(v,) for v in numbers], "v string").select("v", S.as_number(F.col("v")).alias("n")).collect()
+    assert {r["v"]: r["n"] for r in got} == numbers
