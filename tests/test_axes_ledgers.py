@@ -155,7 +155,7 @@ def method_sizes(spark, df):
     return [pieces.apply(i)._3().maxMethodCodeSize() for i in range(pieces.size())]
 
 
-@pytest.mark.parametrize("name", ["mean_template"])
+@pytest.mark.parametrize("name", ["mean_template", "association_template", "event_template"])
 def test_template_rules_are_compiled(spark, sf, name):
     was = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
