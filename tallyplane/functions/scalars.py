@@ -44,8 +44,10 @@ TIERS = ("R0", "R1", "R2", "R3", "R4")
 BLANK = r"^({0}({1}){0}|\s*+({2})\s*+)\z".format(r"[\s./\\_-]*+", "|".join(r"[\s./\\_-]*+".join(w) for w in NULL_COMPACT), "|".join(re.escape(w) for w in NULL_SPELLINGS))
 NUMBER = r"^\s*+[+-]?(?:{0}\.?(?:{0})?|\.{0})(?:[eE][+-]?{0})?\s*+\z".format(r"[0-9]++(?:_[0-9]++)*+")
 #: What a blank and what a number can start with: cells that start otherwise need no pattern.
-BLANK_STARTS = ("", *" \t\n\x0b\f\r./\\_-", *sorted({x for w in (*NULL_SPELLINGS, *NULL_COMPACT) for x in (w[:1], w[:1].lower())} - {*"./\\_-", ""}))
-NUMBER_STARTS = tuple(" \t\n\x0b\f\r+-.0123456789")
+BLANK_STARTS = " \t\n\x0b\f\r./\\_-" + "".join(sorted({x for w in (*NULL_SPELLINGS, *NULL_COMPACT) for x in (w[:1], w[:1].lower())} - {*"./\\_-", ""}))
+NUMBER_STARTS = " \t\n\x0b\f\r+-.0123456789"
+#: What most numbers look like: no exponent, no underscore, and too few digits to be infinite.
+PLAIN = r"^[+-]?[0-9]{1,100}+(?:\.[0-9]{0,100}+)?\z"
 
 
 #: Rows of a table that may be broadcast.
@@ -73,7 +75,7 @@ def is_blank(c: Column) -> Column:
     """Null, not finite, or one of the null spellings."""
     raw = F.coalesce(c.cast("string"), F.lit(""))
     s = F.upper(raw)
-    return F.substring(raw, 1, 1).isin(*BLANK_STARTS) & s.rlike(BLANK) | s.isin("INFINITY", "-INFINITY") & (F.typeof(c).isin("double", "float"))
+    return F.contains(F.lit(BLANK_STARTS), F.substring(raw, 1, 1)) & s.rlike(BLANK) | s.isin("INFINITY", "-INFINITY") & (F.typeof(c).isin("double", "float"))
 
 
 def only_space(c: Column) -> Column:
@@ -86,7 +88,9 @@ def as_number(c: Column) -> Column:
     """A finite double, or null for anything else. A trailing type letter is no number; digit groups joined by an underscore are."""
     s = c.cast("string")
     v = F.replace(s, F.lit("_"), F.lit("")).try_cast("double")
-    return F.when(F.substring(s, 1, 1).isin(*NUMBER_STARTS) & s.rlike(NUMBER), F.when(F.abs(v) < float("inf"), v))
+    other = F.when(s.rlike(NUMBER), F.when(F.abs(v) < float("inf"), v))
+    # the pattern goes first, as a cast that fails raises an error within
+    return F.when((s != "") & F.contains(F.lit(NUMBER_STARTS), F.substring(s, 1, 1)), F.when(s.rlike(PLAIN), s.try_cast("double")).otherwise(other))
 
 
 def is_bad_number(c: Column) -> Column:

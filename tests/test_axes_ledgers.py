@@ -175,3 +175,20 @@ def test_blank_and_number_spellings(spark):
     numbers = {"\u000b1_0.5_0e1_0\n": 1.05e11, "+.5": 0.5, "1e999": None, "1_": None, "1__0": None, "_1": None, "1.\u0085": None, "12" + " " * 20000 + "x": None, "1f": None}
     got = spark.createDataFrame([(v,) for v in numbers], "v string").select("v", S.as_number(F.col("v")).alias("n")).collect()
     assert {r["v"]: r["n"] for r in got} == numbers
+
+
+def test_looks_at_a_cell_are_few_calls(spark, monkeypatch):
+    # a template has some fifty cells, and each literal of its conditions is a call to the JVM: a literal for each first character made 424
+    client, calls = spark._jvm._gateway_client, []
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: calls.append(a[0]) or send(*a, **k))
+    S.is_blank(F.col("v")), S.as_number(F.col("v"))
+    monkeypatch.undo()
+    made = len([c for c in calls if not c.startswith("m\n")])  # m: releases of what is no longer held
+    assert 0 < made <= 350, made
+
+
+def test_long_and_plain_numbers(spark):
+    want = {"5.": 5.0, "-0": -0.0, "+0012.50": 12.5, "0" * 120 + "7": 7.0, "9" * 101: float("9" * 101), "9" * 400: None, "1." + "0" * 101: 1.0, "": None, ".": None, "1.2.3": None, "0x1p3": None, "1_0": 10.0, "5\n": 5.0, "٥": None}
+    got = spark.createDataFrame([(v,) for v in want], "v string").select("v", S.as_number(F.col("v")).alias("n")).collect()
+    assert {r["v"]: r["n"] for r in got} == want
